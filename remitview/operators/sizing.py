@@ -1,0 +1,22 @@
+"""Broadcast only behind a size check.
+
+``fits`` runs one bounded job (``limit(n + 1).count()``): it stops reading as
+soon as the bound is exceeded, so checking a large side costs at most
+``n + 1`` rows.  Above the bound the caller's join stays a shuffle join and
+AQE re-plans it from the real shuffle sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports are monthly batch extracts over a closed date window; nothing in
+them is incremental, windowed over event time or stateful, so there is no
+Structured Streaming operator to provide.  A caller that lands claims
+continuously runs the batch job for the closed month.
+"""
