@@ -187,7 +187,7 @@ def header_join(spark, sf_dir):
 def left_join_on_predicate(spark, sf_dir):
     """Live postings per claim; a claim with none keeps a null amount."""
     t = _open(spark, sf_dir)
-    totals = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
+    totals, _ = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
     joined = t["claim"].select("claim_id").join(totals, "claim_id", "left")
     return joined.select(
         "claim_id",
@@ -217,7 +217,7 @@ def carrier_lookup(spark, sf_dir):
 def recovered_zero_default(spark, sf_dir):
     """Recovered amount per claim, 0.00 without live postings."""
     t = _open(spark, sf_dir)
-    totals = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
+    totals, _ = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
     joined = t["claim"].select("claim_id").join(totals, "claim_id", "left")
     return joined.select("claim_id", D.zero_if_null("remit_total").cast(D.MONEY_SUM).alias("amount_recovered"))
 

@@ -73,15 +73,19 @@ def lookup(
     default: str | None = None,
     case_sensitive: bool = True,
     max_rows: int = DEFAULT_MAX_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = crosswalk value of ``df[code_col]``.
 
     Unmatched and null codes get ``default`` (the CASE's ELSE).  A matched
-    branch whose text is null stays null.
+    branch whose text is null stays null.  ``small``: a size decision already
+    taken on the crosswalk input (it bounds the resolved table).
     """
     key = f"__{out_col}_key"
     val = f"__{out_col}_val"
-    side = broadcast_if_small(resolved.select(F.col("xw_key").alias(key), F.col("xw_value").alias(val)), max_rows)
+    side = broadcast_if_small(
+        resolved.select(F.col("xw_key").alias(key), F.col("xw_value").alias(val)), max_rows, small
+    )
     joined = df.join(side, code_key(F.col(code_col), case_sensitive) == F.col(key), "left")
     value = F.col(val)
     if default is not None:
@@ -96,6 +100,7 @@ def exclude_codes(
     case_sensitive: bool = True,
     code: str = "code",
     max_rows: int = DEFAULT_MAX_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``code_col NOT IN (list)``: listed codes and null codes are dropped.
 
@@ -103,6 +108,6 @@ def exclude_codes(
     A null entry in the list is not a code and is ignored.
     """
     keys = codes.where(F.col(code).isNotNull()).select(code_key(code, case_sensitive).alias("__ex_key")).distinct()
-    side = broadcast_if_small(keys, max_rows)
+    side = broadcast_if_small(keys, max_rows, small)
     kept = df.where(F.col(code_col).isNotNull())
     return kept.join(side, code_key(F.col(code_col), case_sensitive) == F.col("__ex_key"), "left_anti")

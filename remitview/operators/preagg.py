@@ -31,24 +31,32 @@ def live_posting_totals(
     claim_ids: DataFrame | None,
     live_flag: str,
     max_rows: int,
-) -> DataFrame:
-    """``(claim_id, remit_total, n_postings)`` over live postings.
+    ids_small: bool | None = None,
+) -> tuple[DataFrame, bool]:
+    """``(claim_id, remit_total, n_postings)`` over live postings, and whether it is bounded.
 
     When the report's claim ids are provably few (``fits``) the postings are
     first semi-joined against them with a broadcast, so only the report's
-    postings reach the aggregation; otherwise the whole posting table is
-    pre-aggregated (partial aggregation keeps that skew-proof) and Spark's
-    runtime filter may still prune the scan from the join side.
+    postings reach the aggregation, and the totals (at most one row per such
+    claim) are bounded by the same check -- the caller may broadcast them.
+    Otherwise the whole posting table is pre-aggregated (partial aggregation
+    keeps that skew-proof) and Spark's runtime filter may still prune the scan
+    from the join side.
     """
     live = posting.where(F.col("delete_ind") == F.lit(live_flag)).select("claim_id", "remit_amt")
+    bounded = False
     if claim_ids is not None:
         ids = claim_ids.select("claim_id")
-        if fits(ids, max_rows):
+        if ids_small is None:
+            ids_small = fits(ids, max_rows)
+        if ids_small:
             live = live.join(F.broadcast(ids), "claim_id", "left_semi")
-    return live.groupBy("claim_id").agg(
+            bounded = True
+    totals = live.groupBy("claim_id").agg(
         F.sum("remit_amt").alias("remit_total"),
         F.count(F.lit(1)).alias("n_postings"),
     )
+    return totals, bounded
 
 
 def denial_multiplicity(denial: DataFrame, contract_num: str) -> DataFrame:

@@ -4,10 +4,15 @@
 soon as the bound is exceeded, so checking a large side costs at most
 ``n + 1`` rows.  Above the bound the caller's join stays a shuffle join and
 AQE re-plans it from the real shuffle sizes.
+
+``fits_many`` checks several candidates as concurrent Spark jobs (one driver
+thread each), so a report pays for its checks once, not once per join.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,25 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits_many(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``fits`` for every frame, run concurrently."""
+    if not frames:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(8, len(frames))) as pool:
+        futures = {k: pool.submit(fits, df, max_rows) for k, df in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, small: bool | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df``.
+
+    ``small`` may carry a decision already made (e.g. by ``fits_many`` on an
+    upper-bound input of ``df``).
+    """
+    if small is None:
+        small = fits(df, max_rows)
+    return maybe_broadcast(df, small)

@@ -38,7 +38,7 @@ from remitview.config import DENIAL_TYPE_ORDER, ReportConfig
 from remitview.functions import derive as D
 from remitview.operators import crosswalk as X
 from remitview.operators.preagg import denial_multiplicity
-from remitview.operators.sizing import broadcast_if_small
+from remitview.operators.sizing import fits_many, maybe_broadcast
 from remitview.plans.headers import DENIED_COLUMNS
 
 DENIED_GROUP_KEYS = tuple(c for c in DENIED_COLUMNS if c != "actual_amount_recovered")
@@ -46,10 +46,11 @@ DENIED_GROUP_KEYS = tuple(c for c in DENIED_COLUMNS if c != "actual_amount_recov
 
 def denied_claim_filter(cfg: ReportConfig, program: str | None, lo, hi):
     c = F.col
+    # Most selective first: generated code short-circuits AND left to right.
     cond = (
-        (c("contract_num") == F.lit(cfg.contract_num))
-        & D.as_date_col("remit_dt").between(F.lit(lo), F.lit(hi))
+        D.as_date_col("remit_dt").between(F.lit(lo), F.lit(hi))
         & c("transact_status_cd").isin(*cfg.denied_status_filter)
+        & (c("contract_num") == F.lit(cfg.contract_num))
     )
     if program is not None:
         cond = cond & D.program_predicate("icn", program, cfg)
@@ -67,24 +68,56 @@ def crosswalks(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, Dat
     }
 
 
+def default_carriers(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFrame:
+    return (
+        tables["carrier_b"]
+        .where(F.col("default_ind") == F.lit(cfg.carrier_default_flag))
+        .select("carrier_cd", "carrier_nm")
+    )
+
+
+def size_decisions(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, bool]:
+    """Broadcast decisions for every dimension of the template, checked concurrently.
+
+    Crosswalks are checked on their raw input: resolving keeps at most one
+    row per input row, so the input's bound is the resolved table's bound.
+    The decisions do not depend on program or window, so a run computes them
+    once for all its DENIED reports.
+    """
+    return fits_many(
+        {
+            "action": tables["action_xwalk"],
+            "carrier1": tables["carrier_xwalk1"],
+            "carrier2": tables["carrier_xwalk2"],
+            "denial_type": tables["denial_code_set"],
+            "exclusion": tables["action_exclusion"],
+            "carriers": default_carriers(tables, cfg),
+        },
+        cfg.broadcast_max_rows,
+    )
+
+
 def denied_claims(
     tables: dict[str, DataFrame],
     program: str | None,
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """Claim side after filters, exclusion and the default-carrier inner join."""
+    small = small if small is not None else size_decisions(tables, cfg)
     claims = tables["claim_b"].where(denied_claim_filter(cfg, program, lo, hi))
     claims = X.exclude_codes(
-        claims, "action_cd", tables["action_exclusion"], cfg.case_sensitive_codes, max_rows=cfg.broadcast_max_rows
-    )
-    carriers = (
-        tables["carrier_b"]
-        .where(F.col("default_ind") == F.lit(cfg.carrier_default_flag))
-        .select("carrier_cd", "carrier_nm")
+        claims,
+        "action_cd",
+        tables["action_exclusion"],
+        cfg.case_sensitive_codes,
+        max_rows=cfg.broadcast_max_rows,
+        small=small["exclusion"],
     )
-    return claims.join(broadcast_if_small(carriers, cfg.broadcast_max_rows), "carrier_cd", "inner")
+    carriers = maybe_broadcast(default_carriers(tables, cfg), small["carriers"])
+    return claims.join(carriers, "carrier_cd", "inner")
 
 
 def denied_rows(
@@ -93,15 +126,20 @@ def denied_rows(
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """Joined rows with all 28 report columns; the amount already multiplied by fan-out."""
+    small = small if small is not None else size_decisions(tables, cfg)
     xw = crosswalks(tables, cfg)
     cs, mr = cfg.case_sensitive_codes, cfg.broadcast_max_rows
 
-    claims = denied_claims(tables, program, lo, hi, cfg)
-    claims = X.lookup(claims, "action_cd", xw["action"], "hms_description", None, cs, mr)
-    claims = X.lookup(claims, "carrier_action_cd", xw["carrier1"], "carrier_description1", cfg.carrier_desc_default, cs, mr)
-    claims = X.lookup(claims, "action_cd", xw["denial_type"], "denial_type", None, cs, mr)
+    claims = denied_claims(tables, program, lo, hi, cfg, small)
+    claims = X.lookup(claims, "action_cd", xw["action"], "hms_description", None, cs, mr, small["action"])
+    claims = X.lookup(
+        claims, "carrier_action_cd", xw["carrier1"], "carrier_description1", cfg.carrier_desc_default, cs, mr,
+        small["carrier1"],
+    )
+    claims = X.lookup(claims, "action_cd", xw["denial_type"], "denial_type", None, cs, mr, small["denial_type"])
     claims = claims.select(
         "contract_num",
         "ar_seq",
@@ -131,7 +169,10 @@ def denied_rows(
     )
 
     denials = denial_multiplicity(tables["denial"], cfg.contract_num)
-    denials = X.lookup(denials, "carrier_action_cd2", xw["carrier2"], "carrier_description2", cfg.carrier_desc_default, cs, mr)
+    denials = X.lookup(
+        denials, "carrier_action_cd2", xw["carrier2"], "carrier_description2", cfg.carrier_desc_default, cs, mr,
+        small["carrier2"],
+    )
     denials = denials.select(
         "contract_num",
         "ar_seq",
@@ -161,6 +202,7 @@ def denied_report(
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """The DENIED report for one program and one remit-date window."""
-    return group_denied(denied_rows(tables, program, lo, hi, cfg))
+    return group_denied(denied_rows(tables, program, lo, hi, cfg, small))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from remitview.config import ReportConfig
 from remitview.functions import derive as D
 from remitview.operators.preagg import live_posting_totals
-from remitview.operators.sizing import broadcast_if_small
+from remitview.operators.sizing import fits_many, maybe_broadcast
 from remitview.plans.headers import OPEN_COLUMNS
 
 OPEN_GROUP_KEYS = tuple(c for c in OPEN_COLUMNS if c != "amount_recovered")
@@ -55,13 +55,14 @@ def status_codes_for(label: str, cfg: ReportConfig) -> tuple[str, ...]:
 def open_claim_filter(cfg: ReportConfig, program: str | None, lo, hi) -> Column:
     """The claim-level WHERE of the OPEN template (before the status filter)."""
     c = F.col
+    # Most selective first: generated code short-circuits AND left to right.
     cond = (
-        (c("delete_ind") == F.lit(cfg.live_flag))
+        c("bill_dt").between(F.lit(lo), F.lit(hi))
+        & (c("delete_ind") == F.lit(cfg.live_flag))
         & (c("contract_num") == F.lit(cfg.contract_num))
         # Lexical comparison on a text code: '9' >= '30' is true.
         & (c("project_cd") >= F.lit(cfg.project_floor))
         & (c("bill_type_cd") != F.lit(cfg.excluded_bill_type))
-        & c("bill_dt").between(F.lit(lo), F.lit(hi))
         & c("rebill_dt").isNull()
         & D.not_equal_trimmed("carrier_cd", cfg.excluded_carrier)
     )
@@ -85,9 +86,6 @@ def open_rows(
     claims = tables["claim"].where(cond).select(*CLAIM_COLUMNS)
 
     header = tables["claim_header"].select("header_id", "paid_hdr_amt", "paid_dt")
-    totals = live_posting_totals(
-        tables["posting"], claims.select("claim_id"), cfg.live_flag, cfg.broadcast_max_rows
-    ).select("claim_id", "remit_total")
     carriers = (
         tables["carrier_a"]
         .where(
@@ -96,11 +94,17 @@ def open_rows(
         )
         .select("carrier_cd", "carrier_nm")
     )
+    # Both size checks run as concurrent jobs.
+    small = fits_many({"claim_ids": claims.select("claim_id"), "carriers": carriers}, cfg.broadcast_max_rows)
+    totals, bounded = live_posting_totals(
+        tables["posting"], claims, cfg.live_flag, cfg.broadcast_max_rows, ids_small=small["claim_ids"]
+    )
+    totals = maybe_broadcast(totals.select("claim_id", "remit_total"), bounded)
 
     joined = (
         claims.join(header, "header_id", "inner")
         .join(totals, "claim_id", "left")
-        .join(broadcast_if_small(carriers, cfg.broadcast_max_rows), "carrier_cd", "left")
+        .join(maybe_broadcast(carriers, small["carriers"]), "carrier_cd", "left")
     )
     return joined.select(
         "ar_seq",

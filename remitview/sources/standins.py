@@ -239,14 +239,30 @@ def open_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _values_sql(rows, schema: T.StructType) -> str:
+    def lit(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t.simpleString()})"
+        return str(v) if isinstance(v, int) else sql_literal(v)
+
+    fields = schema.fields
+    body = ", ".join("(" + ", ".join(lit(v, f.dataType) for v, f in zip(r, fields)) + ")" for r in rows)
+    return f"SELECT * FROM VALUES {body} AS t({', '.join(f.name for f in fields)})"
+
+
+def inline_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small literal table as an inline VALUES relation (a JVM-side local scan)."""
+    return spark.sql(_values_sql(rows, schema))
+
+
 def crosswalk_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """The invented crosswalk, code-set and exclusion inputs."""
     return {
-        "action_xwalk": spark.createDataFrame(list(ACTION_XWALK), XWALK_SCHEMA),
-        "carrier_xwalk1": spark.createDataFrame(list(CARRIER_XWALK1), XWALK_SCHEMA),
-        "carrier_xwalk2": spark.createDataFrame(list(CARRIER_XWALK2), XWALK_SCHEMA),
-        "denial_code_set": spark.createDataFrame(list(DENIAL_CODE_SET), CODE_SET_SCHEMA),
-        "action_exclusion": spark.createDataFrame([(c,) for c in ACTION_EXCLUSION], CODE_SCHEMA),
+        "action_xwalk": inline_table(spark, ACTION_XWALK, XWALK_SCHEMA),
+        "carrier_xwalk1": inline_table(spark, CARRIER_XWALK1, XWALK_SCHEMA),
+        "carrier_xwalk2": inline_table(spark, CARRIER_XWALK2, XWALK_SCHEMA),
+        "denial_code_set": inline_table(spark, DENIAL_CODE_SET, CODE_SET_SCHEMA),
+        "action_exclusion": inline_table(spark, [(c,) for c in ACTION_EXCLUSION], CODE_SCHEMA),
     }
 
 
