@@ -1,0 +1,71 @@
+"""Run-period and presentation helpers."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from remitview.functions import derive as D
+from remitview.functions import period
+from remitview.functions import present as P
+
+
+@pytest.mark.parametrize(
+    "as_of, lo, hi",
+    [
+        (dt.date(2025, 3, 31), dt.date(2025, 2, 1), dt.date(2025, 2, 28)),
+        (dt.date(2025, 1, 15), dt.date(2024, 12, 1), dt.date(2024, 12, 31)),
+        (dt.date(2024, 3, 1), dt.date(2024, 2, 1), dt.date(2024, 2, 29)),
+    ],
+)
+def test_prev_month_window(as_of, lo, hi):
+    assert period.prev_month_window(as_of) == (lo, hi)
+
+
+def test_column_window_equals_python_window(spark):
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=i) for i in range(0, 800, 7)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    first, last = period.prev_month_bounds(F.col("d"))
+    for r in df.select("d", first.alias("lo"), last.alias("hi")).collect():
+        assert (r["lo"], r["hi"]) == period.prev_month_window(r["d"])
+
+
+def test_run_stamps():
+    assert period.run_stamps(dt.date(2025, 3, 7)) == {"mmddyyyy": "03072025", "yyyymmdd": "20250307"}
+
+
+def test_display_formats(spark):
+    df = spark.createDataFrame(
+        [(Decimal("1234.50"), dt.date(2025, 2, 3)), (Decimal("-3.00"), None), (None, None), (Decimal("0.05"), None)],
+        "x decimal(18,2), d date",
+    )
+    got = [tuple(r) for r in df.select(P.display_money("x"), P.display_date("d")).collect()]
+    assert got == [("$1,234.50", "02/03/2025"), ("-$3.00", None), (None, None), ("$0.05", None)]
+
+
+def test_render_text_matches_python_str(spark):
+    ts = dt.datetime(2025, 2, 11, 8, 0)
+    df = spark.createDataFrame(
+        [(Decimal("1.50"), dt.date(2025, 2, 1), ts, 'O"NEIL', None)],
+        "m decimal(18,2), d date, t timestamp_ntz, s string, n string",
+    )
+    r = df.select(*[P.render_text(c).alias(c) for c in df.columns]).collect()[0]
+    assert tuple(r) == (str(Decimal("1.50")), str(dt.date(2025, 2, 1)), str(ts), 'O"NEIL', "None")
+
+
+def test_quoted_line_keeps_nulls_and_quotes_unescaped(spark):
+    df = spark.createDataFrame([("A", None, 'O"NEIL', "")], "a string, b string, c string, d string")
+    assert df.select(P.quoted_line(df.columns).alias("l")).first()["l"] == '"A","None","O"NEIL",""'
+
+
+def test_claim_number_helpers(spark):
+    df = spark.createDataFrame([("100000000101",), ("12",), ("1",), ("",), (None,)], "icn string")
+    got = [tuple(r) for r in df.select(D.icn_stem("icn"), D.icn_line("icn"), D.icn_prefix("icn")).collect()]
+    assert got == [
+        ("1000000001", "01", "10"),
+        ("", "12", "12"),
+        ("", "1", "1"),
+        ("", "", ""),
+        (None, None, None),
+    ]
