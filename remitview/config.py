@@ -67,7 +67,7 @@ class ReportConfig:
     case_sensitive_codes: bool = True
     # Row bound under which a dimension / key set is broadcast; above it the
     # join stays a shuffle join and AQE decides at run time.
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     extra: dict = field(default_factory=dict)
 
     def program_prefixes(self, program: str) -> tuple[tuple[str, ...], bool]:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from remitview.functions.derive import col_
 from remitview.operators.sizing import broadcast_if_small
 
-DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_ROWS = 1_000_000
 
 
 def code_key(c, case_sensitive: bool = True) -> Column:

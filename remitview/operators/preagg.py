@@ -59,10 +59,19 @@ def live_posting_totals(
     return totals, bounded
 
 
-def denial_multiplicity(denial: DataFrame, contract_num: str) -> DataFrame:
-    """``(contract_num, ar_seq, codes..., n_denials)``: identical denial rows counted once."""
-    return (
-        denial.where(F.col("contract_num") == F.lit(contract_num))
-        .groupBy(*DENIAL_KEYS, *DENIAL_CODES)
-        .agg(F.count(F.lit(1)).cast("int").alias("n_denials"))
-    )
+def denial_multiplicity(
+    denial: DataFrame,
+    contract_num: str,
+    claim_keys: DataFrame | None = None,
+    keys_small: bool = False,
+) -> DataFrame:
+    """``(contract_num, ar_seq, codes..., n_denials)``: identical denial rows counted once.
+
+    With ``claim_keys`` known to be small (``keys_small``), only the denials
+    of those claims are read past a broadcast semi-join, so a one-month report
+    does not aggregate the whole denial history.
+    """
+    rows = denial.where(F.col("contract_num") == F.lit(contract_num))
+    if claim_keys is not None and keys_small:
+        rows = rows.join(F.broadcast(claim_keys.select(*DENIAL_KEYS)), list(DENIAL_KEYS), "left_semi")
+    return rows.groupBy(*DENIAL_KEYS, *DENIAL_CODES).agg(F.count(F.lit(1)).cast("int").alias("n_denials"))

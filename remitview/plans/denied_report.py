@@ -19,6 +19,7 @@ Plan:
     |--inner-- carrier_b where default flag                        (broadcast if small)
     |--left--- action / carrier-1 / denial-type crosswalks         (broadcast)
     |--inner-- denial multiplicity  on (contract_num, ar_seq)      (shuffle, AQE)
+    |            `-- denial [semi-join window keys if few]         (broadcast)
     |            `-- denial grouped by key + codes, counted (map-side combine)
     |            `-- left carrier-2 crosswalk                      (broadcast)
     group by the 27 report columns -> SUM(remit * n_denials)
@@ -84,17 +85,24 @@ def size_decisions(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str,
     The decisions do not depend on program or window, so a run computes them
     once for all its DENIED reports.
     """
-    return fits_many(
-        {
-            "action": tables["action_xwalk"],
-            "carrier1": tables["carrier_xwalk1"],
-            "carrier2": tables["carrier_xwalk2"],
-            "denial_type": tables["denial_code_set"],
-            "exclusion": tables["action_exclusion"],
-            "carriers": default_carriers(tables, cfg),
-        },
-        cfg.broadcast_max_rows,
-    )
+    return fits_many(_dimension_frames(tables, cfg), cfg.broadcast_max_rows)
+
+
+def _dimension_frames(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
+    return {
+        "action": tables["action_xwalk"],
+        "carrier1": tables["carrier_xwalk1"],
+        "carrier2": tables["carrier_xwalk2"],
+        "denial_type": tables["denial_code_set"],
+        "exclusion": tables["action_exclusion"],
+        "carriers": default_carriers(tables, cfg),
+    }
+
+
+def _claim_side(
+    tables: dict[str, DataFrame], program: str | None, lo: dt.date, hi: dt.date, cfg: ReportConfig
+) -> DataFrame:
+    return tables["claim_b"].where(denied_claim_filter(cfg, program, lo, hi))
 
 
 def denied_claims(
@@ -107,9 +115,8 @@ def denied_claims(
 ) -> DataFrame:
     """Claim side after filters, exclusion and the default-carrier inner join."""
     small = small if small is not None else size_decisions(tables, cfg)
-    claims = tables["claim_b"].where(denied_claim_filter(cfg, program, lo, hi))
     claims = X.exclude_codes(
-        claims,
+        _claim_side(tables, program, lo, hi, cfg),
         "action_cd",
         tables["action_exclusion"],
         cfg.case_sensitive_codes,
@@ -129,7 +136,11 @@ def denied_rows(
     small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """Joined rows with all 28 report columns; the amount already multiplied by fan-out."""
-    small = small if small is not None else size_decisions(tables, cfg)
+    # Window-dependent check (the report's claim keys) together with the
+    # window-independent dimension checks, all as concurrent jobs.
+    keys = _claim_side(tables, program, lo, hi, cfg).select("contract_num", "ar_seq")
+    frames = {"claim_keys": keys, **(_dimension_frames(tables, cfg) if small is None else {})}
+    small = {**(small or {}), **fits_many(frames, cfg.broadcast_max_rows)}
     xw = crosswalks(tables, cfg)
     cs, mr = cfg.case_sensitive_codes, cfg.broadcast_max_rows
 
@@ -168,7 +179,7 @@ def denied_rows(
         D.source_code("source_elig_cd", cfg).alias("source_code"),
     )
 
-    denials = denial_multiplicity(tables["denial"], cfg.contract_num)
+    denials = denial_multiplicity(tables["denial"], cfg.contract_num, keys, small["claim_keys"])
     denials = X.lookup(
         denials, "carrier_action_cd2", xw["carrier2"], "carrier_description2", cfg.carrier_desc_default, cs, mr,
         small["carrier2"],

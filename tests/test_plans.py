@@ -66,3 +66,8 @@ def test_denied_outer_joins_collapse_and_dimensions_broadcast(plans):
 def test_denied_denials_counted_before_the_join(plans):
     text, _ = plans["denied_ffs"]
     assert "partial_count" in text
+
+
+def test_denied_history_is_semi_reduced_to_the_window(plans):
+    _, executed = plans["denied_ffs"]
+    assert executed.count("LeftSemi") >= 1
