@@ -4,9 +4,11 @@
 
 Each query is executed completely with the ``noop`` sink (all rows produced,
 nothing collected to the driver).  The four reports run once untimed first so
-JIT warm-up is not charged to the first query.  ``value`` is the sum of the
-per-query wall times in seconds; ``reports_sec`` is the sum for the four
-reports alone.
+JIT warm-up is not charged to the first query; each time is the best of
+``BENCH_REPEATS`` (default 2) runs.  ``value`` is the sum of the per-query
+wall times in seconds; ``reports_sec`` is the sum for the four
+reports alone; ``run_month_sec`` is the one-pass monthly run (both templates,
+both programs, August 1996) -- what a production run executes.
 """
 
 from __future__ import annotations
@@ -38,13 +40,32 @@ def main() -> None:
     for k in REPORTS:
         run(catalog.QUERIES[k](spark, sf_dir))
 
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     times = {}
     for k, q in catalog.QUERIES.items():
         if only and k not in only:
             continue
+        best = None
+        for _ in range(repeats):
+            t0 = time.perf_counter()
+            run(q(spark, sf_dir))  # plan construction (incl. size checks) is part of the time
+            t = time.perf_counter() - t0
+            best = t if best is None else min(best, t)
+        times[k] = round(best, 3)
+
+    # The monthly run computes each template once for both programs.
+    from remitview.plans.run import template_reports
+    from remitview.sources import standins
+
+    run_month_sec = None
+    for _ in range(repeats):
         t0 = time.perf_counter()
-        run(q(spark, sf_dir))  # plan construction (incl. size checks) is part of the time
-        times[k] = round(time.perf_counter() - t0, 3)
+        tables = {**standins.open_tables(spark, sf_dir), **standins.denied_tables(spark, sf_dir)}
+        for df in template_reports(tables, catalog.MONTH_LO, catalog.MONTH_HI, catalog.CFG).values():
+            run(df)
+        t = time.perf_counter() - t0
+        run_month_sec = t if run_month_sec is None else min(run_month_sec, t)
+    run_month_sec = round(run_month_sec, 3)
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     out = {
@@ -53,6 +74,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "reports_sec": round(sum(times.get(k, 0.0) for k in REPORTS), 3),
+        "run_month_sec": run_month_sec,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "config": {
             "master": f"local[{cpus}]",

@@ -90,7 +90,7 @@ def lookup(
     value = F.col(val)
     if default is not None:
         value = F.when(F.col(key).isNull(), F.lit(default)).otherwise(value)
-    return joined.withColumn(out_col, value).drop(key, val)
+    return joined.select(*[F.col(c) for c in df.columns if c != out_col], value.alias(out_col))
 
 
 def exclude_codes(
