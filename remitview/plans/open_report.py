@@ -4,7 +4,8 @@ Logical plan (the reference computes the same rows with one nested SQL query):
 
     claim  --filter (record flags, contract, project, program, bill type,
     |              window, never rebilled, carrier, report status)
-    |--inner-- claim_header            on header_id      (shuffle / AQE)
+    |--inner-- claim_header            on header_id      (shuffle / AQE; semi-reduced
+    |                                                      to the month's headers)
     |--left--- live posting totals     on claim_id       (pre-aggregated)
     |--left--- carrier_a (filtered)    on carrier_cd     (broadcast if small)
     derive -> group by the 18 report columns -> SUM(recovered)
@@ -100,6 +101,10 @@ def open_rows(
         tables["posting"], claims, cfg.live_flag, cfg.broadcast_max_rows, ids_small=small["claim_ids"]
     )
     totals = maybe_broadcast(totals.select("claim_id", "remit_total"), bounded)
+    if small["claim_ids"]:
+        # Only the month's headers take part in the shuffle join; AQE can then
+        # turn it into a broadcast from the real (reduced) size.
+        header = header.join(F.broadcast(claims.select("header_id")), "header_id", "left_semi")
 
     joined = (
         claims.join(header, "header_id", "inner")
