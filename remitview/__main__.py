@@ -29,6 +29,7 @@ def main(argv=None) -> dict:
     p.add_argument("--out", required=True, help="output root (any Spark path)")
     p.add_argument("--format", choices=("csv", "text"), default="csv")
     p.add_argument("--case-insensitive-codes", action="store_true")
+    p.add_argument("--single-file", action="store_true", help="one file per extract (one writer task each)")
     args = p.parse_args(argv)
 
     with open(args.roles) as f:
@@ -39,7 +40,7 @@ def main(argv=None) -> dict:
     else:
         tables = load_tables(spark, spec["roles"], spec.get("format", "parquet"), spec.get("options"))
     cfg = ReportConfig(case_sensitive_codes=not args.case_insensitive_codes)
-    return run_month(spark, tables, args.as_of, args.out, cfg, args.format)
+    return run_month(spark, tables, args.as_of, args.out, cfg, args.format, args.single_file)
 
 
 if __name__ == "__main__":

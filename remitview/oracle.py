@@ -73,18 +73,6 @@ def _select(role: str, where: str = "") -> str:
     return f"SELECT {cols} FROM {table}" + (f" WHERE {where}" if where else "")
 
 
-def _values(rows, cols) -> str:
-    def lit(v):
-        if v is None:
-            return "NULL"
-        if isinstance(v, int):
-            return str(v)
-        return S.sql_literal(v)
-
-    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"SELECT * FROM (VALUES {body}) AS v({', '.join(cols)})"
-
-
 _ROLE_SQL = {
     "claim": lambda: _select("claim"),
     "claim_header": lambda: _select("claim_header"),

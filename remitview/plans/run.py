@@ -8,6 +8,10 @@ Layout under ``out_root``::
     run_date=YYYYMMDD/report=denied/program=cco/part-*.csv
     run_date=YYYYMMDD/_status/              ('running' first, 'complete' last)
 
+In ``text`` mode (byte parity) each extract is a directory named like the
+original file, e.g. ``report=denied/ORMTHLY.ORDENIALSOUTFFS.YYYYMMDD.txt/``,
+holding one part file with ``single_file=True``.
+
 Each template is computed *once* for both programs -- the program is one more
 group key -- and written with ``partitionBy("program")``: one scan, one join
 pipeline and one aggregation per template instead of one per report.  The
@@ -34,6 +38,14 @@ from remitview.sources.tables import DENIED_ROLES, OPEN_ROLES, check_roles
 
 TEMPLATES = ("open", "denied")
 
+# Names of the original text extracts ({d} = run date YYYYMMDD).
+EXTRACT_NAMES = {
+    ("open", "ffs"): "ORMTHLY.MTHLYBILLFFS.{d}.txt",
+    ("open", "cco"): "ORMTHLY.MTHLYBILLCCO.{d}.txt",
+    ("denied", "ffs"): "ORMTHLY.ORDENIALSOUTFFS.{d}.txt",
+    ("denied", "cco"): "ORMTHLY.ORDENIALSOUTCCO.{d}.txt",
+}
+
 
 def _with_program(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
     # Program from the report's own ICN columns: stem || line is the original
@@ -71,12 +83,14 @@ def run_month(
     out_root: str,
     cfg: ReportConfig = ReportConfig(),
     fmt: str = "csv",
+    single_file: bool = False,
 ) -> dict[str, str]:
     """Write the four reports of the month before ``as_of``; returns the output paths."""
     check_roles(tables, {**OPEN_ROLES, **DENIED_ROLES})
     as_of = as_date(as_of)
     lo, hi = prev_month_window(as_of)
-    base = f"{out_root.rstrip('/')}/run_date={run_stamps(as_of)['yyyymmdd']}"
+    stamp = run_stamps(as_of)["yyyymmdd"]
+    base = f"{out_root.rstrip('/')}/run_date={stamp}"
     reports = template_reports(tables, lo, hi, cfg)
     _write_status(spark, base, as_of, lo, hi, "running")
     paths = {}
@@ -84,7 +98,7 @@ def run_month(
         path = f"{base}/report={template}"
         df = reports[template]
         if fmt == "csv":
-            sink.write_quoted_csv(df, path, template, partition_by=["program"])
+            sink.write_quoted_csv(df, path, template, partition_by=["program"], single_file=single_file)
         elif fmt == "text":
             # One text extract per program (headers differ by program); the
             # template result is kept between the two writes (lost blocks are
@@ -93,7 +107,8 @@ def run_month(
             try:
                 for program in PROGRAMS:
                     part = df.where(F.col("program") == F.lit(program)).drop("program")
-                    sink.write_quoted_text(part, f"{path}/program={program}", template, program)
+                    name = EXTRACT_NAMES[(template, program)].format(d=stamp)
+                    sink.write_quoted_text(part, f"{path}/{name}", template, program, single_file=single_file)
             finally:
                 df.unpersist()
         else:

@@ -81,7 +81,9 @@ def test_run_month_layout_and_status(spark, scratch):
 def test_run_month_text_mode(spark, scratch):
     tables = {**S.open_tables(spark, SF01), **S.denied_tables(spark, SF01)}
     out = os.path.join(scratch, "runs_txt")
-    paths = run_month(spark, tables, C.AS_OF, out, fmt="text")
-    parts = sorted(glob.glob(os.path.join(paths["denied"], "program=ffs", "part-*")))
-    lines = [ln for p in parts for ln in open(p).read().splitlines()]
+    paths = run_month(spark, tables, C.AS_OF, out, fmt="text", single_file=True)
+    (part,) = glob.glob(os.path.join(paths["denied"], "ORMTHLY.ORDENIALSOUTFFS.19960915.txt", "part-*"))
+    lines = open(part).read().splitlines()
+    assert lines[0] == sink.header_line([h for _, h in DENIED_HEADERS])
     assert len(lines) - 1 == C.denied_ffs(spark, SF01).count()
+    assert glob.glob(os.path.join(paths["open"], "ORMTHLY.MTHLYBILLCCO.19960915.txt", "part-*"))
