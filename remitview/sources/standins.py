@@ -32,6 +32,8 @@ keys, a case pair, the empty code, a slash pair, a literal with a comma).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -217,8 +219,24 @@ def _project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{e} AS {c}" for c, e in exprs.items()])
 
 
+# Bound role definitions per session and directory.  They are lazy plans (no
+# data is cached); binding them once saves re-parsing the projections.
+_BOUND: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> dict[str, DataFrame]:
+    per_session = _BOUND.setdefault(spark, {})
+    if key not in per_session:
+        per_session[key] = build()
+    return dict(per_session[key])
+
+
 def open_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Roles of the OPEN template."""
+    return _memo(spark, ("open", sf_dir), lambda: _open_tables(spark, sf_dir))
+
+
+def _open_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation = _read(spark, sf_dir, "nation").selectExpr(
         "concat('C', lpad(cast(n_nationkey AS string), 2, '0')) AS carrier_cd",
         "n_name AS carrier_nm",
@@ -268,6 +286,10 @@ def crosswalk_tables(spark: SparkSession) -> dict[str, DataFrame]:
 
 def denied_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Roles of the DENIED template (crosswalk inputs included)."""
+    return _memo(spark, ("denied", sf_dir), lambda: _denied_tables(spark, sf_dir))
+
+
+def _denied_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     supplier = _read(spark, sf_dir, "supplier")
     carriers = supplier.selectExpr(
         "concat('S', cast(s_suppkey AS string)) AS carrier_cd",
