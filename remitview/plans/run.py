@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,6 +134,6 @@ def read_status(spark: SparkSession, out_root: str, as_of) -> str | None:
     path = f"{out_root.rstrip('/')}/run_date={run_stamps(as_date(as_of))['yyyymmdd']}/_status"
     try:
         rows = spark.read.schema("state string").json(path).limit(1).collect()
-    except Exception:  # AnalysisException: path does not exist
+    except AnalysisException:  # no status yet: the run never started
         return None
     return rows[0]["state"] if rows else None

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,7 +17,9 @@ SQL_DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "remitview") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "remitview", driver_memory: str = "8g"
+) -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, small shuffles)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("REMITVIEW_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", driver_memory)
     )
     for k, v in SQL_DEFAULTS.items():
         builder = builder.config(k, v)

@@ -58,8 +58,6 @@ def norm(v):
 
 def spark_type(t) -> str:
     s = t.simpleString()
-    if s.startswith("decimal"):
-        return s.upper().replace("DECIMAL", "DECIMAL")
     return _SPARK_TO_DUCK.get(s, s.upper())
 
 
