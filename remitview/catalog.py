@@ -293,9 +293,9 @@ def _action_lookup(spark, sf_dir, cfg):
     t = _denied(spark, sf_dir)
     resolved = X.resolve(t["action_xwalk"], cfg.case_sensitive_codes)
     described = X.lookup(
-        t["claim_b"].select("action_cd"), "action_cd", resolved, "hms_description", None, cfg.case_sensitive_codes
+        t["claim_b"].select("action_cd"), "action_cd", resolved, "action_description", None, cfg.case_sensitive_codes
     )
-    return described.groupBy("action_cd", "hms_description").agg(_count())
+    return described.groupBy("action_cd", "action_description").agg(_count())
 
 
 def action_description(spark, sf_dir):

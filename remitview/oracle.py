@@ -210,8 +210,8 @@ SELECT DISTINCT
   a.bill_amt AS billed_amount, a.paid_amt AS line_paid_amount, a.hdr_paid_amt AS paid_amount,
   strftime(a.paid_dt, '%m/%d/%y') AS paid_date,
   CAST(SUM(a.remit_amt) AS DECIMAL(38,2)) AS actual_amount_recovered,
-  c.action_cd1 AS hms_action_cd,
-  {case_first_match("a.action_cd", S.ACTION_XWALK, None)} AS hms_description,
+  c.action_cd1 AS denial_action_cd,
+  {case_first_match("a.action_cd", S.ACTION_XWALK, None)} AS action_description,
   c.carrier_action_cd1 AS carrier_action_cd1,
   {case_first_match("a.carrier_action_cd", S.CARRIER_XWALK1, "NOCOD")} AS carrier_description1,
   c.carrier_action_cd2 AS carrier_action_cd2,
@@ -244,7 +244,7 @@ def _claim_b(sql: str) -> str:
 
 def _action_sql(case_sensitive: bool) -> str:
     return _claim_b(
-        f"SELECT action_cd, {case_first_match('action_cd', S.ACTION_XWALK, None, case_sensitive)} AS hms_description,"
+        f"SELECT action_cd, {case_first_match('action_cd', S.ACTION_XWALK, None, case_sensitive)} AS action_description,"
         " COUNT(*) AS n FROM claim_b GROUP BY 1, 2"
     )
 

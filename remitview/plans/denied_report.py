@@ -145,7 +145,7 @@ def denied_rows(
     cs, mr = cfg.case_sensitive_codes, cfg.broadcast_max_rows
 
     claims = denied_claims(tables, program, lo, hi, cfg, small)
-    claims = X.lookup(claims, "action_cd", xw["action"], "hms_description", None, cs, mr, small["action"])
+    claims = X.lookup(claims, "action_cd", xw["action"], "action_description", None, cs, mr, small["action"])
     claims = X.lookup(
         claims, "carrier_action_cd", xw["carrier1"], "carrier_description1", cfg.carrier_desc_default, cs, mr,
         small["carrier1"],
@@ -166,7 +166,7 @@ def denied_rows(
         F.col("hdr_paid_amt").alias("paid_amount"),
         D.date_text("paid_dt").alias("paid_date"),
         "remit_amt",
-        "hms_description",
+        "action_description",
         "carrier_description1",
         "denial_type",
         F.col("carrier_cd").alias("carrier_code"),
@@ -187,7 +187,7 @@ def denied_rows(
     denials = denials.select(
         "contract_num",
         "ar_seq",
-        F.col("action_cd1").alias("hms_action_cd"),
+        F.col("action_cd1").alias("denial_action_cd"),
         "carrier_action_cd1",
         "carrier_action_cd2",
         "carrier_description2",

@@ -46,8 +46,8 @@ DENIED_HEADERS = (
     ("paid_amount", "MEDICAID PAID"),
     ("paid_date", "MEDICAID PAID DATE"),
     ("actual_amount_recovered", "ACTUAL AMOUNT RECOVERED"),
-    ("hms_action_cd", "HMS ACTION CD"),
-    ("hms_description", "HMS DESCRIPTION"),
+    ("denial_action_cd", "HMS ACTION CD"),
+    ("action_description", "HMS DESCRIPTION"),
     ("carrier_action_cd1", "CARRIER ACTION CD1"),
     ("carrier_description1", "CARRIER DESCRIPTION1"),
     ("carrier_action_cd2", "CARRIER ACTION CD2"),

@@ -91,7 +91,7 @@ def _described(spark, codes, cfg=ReportConfig()):
     claims = [dict(ar_seq=i, action_cd=c) for i, c in enumerate(codes, start=1)]
     denials = [dict(ar_seq=i) for i in range(1, len(codes) + 1)]
     rows = by_seq(report(spark, claims, denials=denials, cfg=cfg))
-    return [(rows[i]["hms_description"], rows[i]["denial_type"]) if i in rows else "excluded" for i in range(1, len(codes) + 1)]
+    return [(rows[i]["action_description"], rows[i]["denial_type"]) if i in rows else "excluded" for i in range(1, len(codes) + 1)]
 
 
 def test_action_crosswalk_first_match_blank_padded(spark):
@@ -146,7 +146,7 @@ def test_carrier_descriptions_defaults_and_empty_code(spark):
 
 def test_code_shown_and_description_may_disagree(spark):
     rows = report(spark, [dict(action_cd="DUPX")], denials=[dict(action_cd1="ADDRX")])
-    assert (rows[0]["hms_action_cd"], rows[0]["hms_description"]) == ("ADDRX", "Duplicate submission")
+    assert (rows[0]["denial_action_cd"], rows[0]["action_description"]) == ("ADDRX", "Duplicate submission")
 
 
 def test_program_split(spark):
