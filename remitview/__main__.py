@@ -27,7 +27,7 @@ def main(argv=None) -> dict:
     p.add_argument("--as-of", default=dt.date.today().isoformat(), help="run date; reports the month before it")
     p.add_argument("--roles", required=True, help="JSON file binding input roles to locations")
     p.add_argument("--out", required=True, help="output root (any Spark path)")
-    p.add_argument("--format", choices=("csv", "text"), default="csv")
+    p.add_argument("--format", choices=("csv", "text", "display"), default="csv")
     p.add_argument("--case-insensitive-codes", action="store_true")
     p.add_argument("--single-file", action="store_true", help="one file per extract (one writer task each)")
     args = p.parse_args(argv)

@@ -39,3 +39,34 @@ def display_money(c) -> Column:
 def display_date(c) -> Column:
     """``MM/DD/YYYY``."""
     return F.date_format(col_(c), "MM/dd/yyyy")
+
+
+# Report columns shown as money / as dates in the display rendering.  The
+# DENIED template's dates are already MM/DD/YY text, so only money applies.
+DISPLAY_MONEY = {
+    "open": ("billed_amount", "line_paid_amount", "paid_amount", "amount_recovered"),
+    "denied": ("billed_amount", "line_paid_amount", "paid_amount", "actual_amount_recovered"),
+}
+DISPLAY_DATES = {
+    "open": ("from_dos", "thru_dos", "paid_date", "original_bill_date", "rebill_date"),
+    "denied": (),
+}
+
+
+def display_view(df, template: str):
+    """The report with money as ``$#,##0.00`` and dates as ``MM/DD/YYYY`` text.
+
+    Columns are chosen by name, so the formats land on the real money and
+    date columns of either template (the workbook styling it replaces chose
+    them by sheet letter).
+    """
+    money, dates = set(DISPLAY_MONEY[template]), set(DISPLAY_DATES[template])
+    cols = []
+    for c in df.columns:
+        if c in money:
+            cols.append(display_money(c).alias(c))
+        elif c in dates:
+            cols.append(display_date(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)

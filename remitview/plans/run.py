@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from remitview.config import PROGRAMS, ReportConfig
 from remitview.functions import derive as D
 from remitview.functions.period import as_date, prev_month_window, run_stamps
+from remitview.functions.present import display_view
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
 from remitview.plans.headers import DENIED_COLUMNS, OPEN_COLUMNS
@@ -98,8 +99,11 @@ def run_month(
     for template in TEMPLATES:
         path = f"{base}/report={template}"
         df = reports[template]
-        if fmt == "csv":
-            sink.write_quoted_csv(df, path, template, partition_by=["program"], single_file=single_file)
+        if fmt in ("csv", "display"):
+            # 'display': money as $#,##0.00 and dates as MM/DD/YYYY (the
+            # presentation the original workbook applied), still one pass.
+            out = display_view(df, template) if fmt == "display" else df
+            sink.write_quoted_csv(out, path, template, partition_by=["program"], single_file=single_file)
         elif fmt == "text":
             # One text extract per program (headers differ by program); the
             # template result is kept between the two writes (lost blocks are

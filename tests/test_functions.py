@@ -69,3 +69,17 @@ def test_claim_number_helpers(spark):
         ("", "", ""),
         (None, None, None),
     ]
+
+
+def test_display_view_formats_real_columns_by_name(spark):
+    from remitview import catalog as C
+    from tests.conftest import SF01
+
+    view = P.display_view(C.open_ffs(spark, SF01), "open")
+    types = dict(view.dtypes)
+    assert all(types[c] == "string" for c in P.DISPLAY_MONEY["open"] + P.DISPLAY_DATES["open"])
+    r = view.first()
+    assert r["billed_amount"].startswith("$") and r["from_dos"][2] == "/" and len(r["from_dos"]) == 10
+    denied = P.display_view(C.denied_ffs(spark, SF01), "denied").first()
+    assert denied["actual_amount_recovered"] is None or denied["actual_amount_recovered"].startswith(("$", "-$"))
+    assert len(denied["from_dos"]) == 8  # MM/DD/YY text kept

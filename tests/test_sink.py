@@ -87,3 +87,12 @@ def test_run_month_text_mode(spark, scratch):
     assert lines[0] == sink.header_line([h for _, h in DENIED_HEADERS])
     assert len(lines) - 1 == C.denied_ffs(spark, SF01).count()
     assert glob.glob(os.path.join(paths["open"], "ORMTHLY.MTHLYBILLCCO.19960915.txt", "part-*"))
+
+
+def test_run_month_display_mode(spark, scratch):
+    tables = {**S.open_tables(spark, SF01), **S.denied_tables(spark, SF01)}
+    paths = run_month(spark, tables, C.AS_OF, os.path.join(scratch, "runs_display"), fmt="display")
+    back = spark.read.options(**sink.CSV_OPTIONS).csv(paths["open"]).where(F.col("program") == "ffs")
+    r = back.first()
+    assert r["BILLED AMOUNT"].startswith("$") and len(r["FROM DOS"]) == 10
+    assert back.count() == C.open_ffs(spark, SF01).count()
