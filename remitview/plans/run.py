@@ -22,6 +22,7 @@ paths.  Readers take a run only when ``read_status`` says 'complete'.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.errors import AnalysisException
@@ -56,6 +57,30 @@ def _with_program(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
     return rows.withColumn("program", D.program_of(icn, cfg)).where(F.col("program").isNotNull())
 
 
+@contextlib.contextmanager
+def window_inputs(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date):
+    """The run's tables with the month's claims kept for the run's duration.
+
+    Each template reads its month of claims several times (size check,
+    semi-join keys, main pipeline).  Keeping the window-filtered claims,
+    projected to the columns the templates use, turns those into one scan.
+    The templates re-apply the same window filter, so results are unchanged;
+    lost cached blocks are recomputed from lineage.
+    """
+    claim = tables["claim"].where(F.col("bill_dt").between(F.lit(lo), F.lit(hi))).select(*OPEN_ROLES["claim"])
+    claim_b = (
+        tables["claim_b"]
+        .where(D.as_date_col("remit_dt").between(F.lit(lo), F.lit(hi)))
+        .select(*DENIED_ROLES["claim_b"])
+    )
+    kept = [claim.persist(), claim_b.persist()]
+    try:
+        yield {**tables, "claim": kept[0], "claim_b": kept[1]}
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 def template_reports(
     tables: dict[str, DataFrame],
     lo: dt.date,
@@ -88,13 +113,21 @@ def run_month(
     single_file: bool = False,
 ) -> dict[str, str]:
     """Write the four reports of the month before ``as_of``; returns the output paths."""
+    if fmt not in ("csv", "display", "text"):
+        raise ValueError(f"unknown format {fmt!r}")
     check_roles(tables, {**OPEN_ROLES, **DENIED_ROLES})
     as_of = as_date(as_of)
     lo, hi = prev_month_window(as_of)
     stamp = run_stamps(as_of)["yyyymmdd"]
     base = f"{out_root.rstrip('/')}/run_date={stamp}"
-    reports = template_reports(tables, lo, hi, cfg)
     _write_status(spark, base, as_of, lo, hi, "running")
+    with window_inputs(tables, lo, hi) as month:
+        paths = _write_reports(template_reports(month, lo, hi, cfg), base, stamp, fmt, single_file)
+    paths["_status"] = _write_status(spark, base, as_of, lo, hi, "complete")
+    return paths
+
+
+def _write_reports(reports: dict[str, DataFrame], base: str, stamp: str, fmt: str, single_file: bool) -> dict:
     paths = {}
     for template in TEMPLATES:
         path = f"{base}/report={template}"
@@ -119,7 +152,6 @@ def run_month(
         else:
             raise ValueError(f"unknown format {fmt!r}")
         paths[template] = path
-    paths["_status"] = _write_status(spark, base, as_of, lo, hi, "complete")
     return paths
 
 

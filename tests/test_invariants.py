@@ -9,7 +9,7 @@ from remitview.functions import derive as D
 from remitview.operators import crosswalk as X
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
-from remitview.plans.run import template_reports
+from remitview.plans.run import template_reports, window_inputs
 from remitview.sources import standins as S
 from tests.conftest import SF01
 
@@ -61,9 +61,10 @@ def test_resolved_crosswalks_have_one_row_per_key(spark):
 
 def test_one_pass_run_equals_single_program_reports(spark):
     ot, dt_ = S.open_tables(spark, SF01), S.denied_tables(spark, SF01)
-    both = template_reports({**ot, **dt_}, C.YEAR_LO, C.YEAR_HI, C.CFG)
-    for program in ("ffs", "cco"):
-        one = both["open"].where(F.col("program") == program).drop("program")
-        assert _bag(one) == _bag(OR.open_report(ot, program, C.YEAR_LO, C.YEAR_HI, C.CFG))
-        one = both["denied"].where(F.col("program") == program).drop("program")
-        assert _bag(one) == _bag(DR.denied_report(dt_, program, C.YEAR_LO, C.YEAR_HI, C.CFG))
+    with window_inputs({**ot, **dt_}, C.YEAR_LO, C.YEAR_HI) as month:
+        both = template_reports(month, C.YEAR_LO, C.YEAR_HI, C.CFG)
+        for program in ("ffs", "cco"):
+            one = both["open"].where(F.col("program") == program).drop("program")
+            assert _bag(one) == _bag(OR.open_report(ot, program, C.YEAR_LO, C.YEAR_HI, C.CFG))
+            one = both["denied"].where(F.col("program") == program).drop("program")
+            assert _bag(one) == _bag(DR.denied_report(dt_, program, C.YEAR_LO, C.YEAR_HI, C.CFG))
