@@ -358,9 +358,13 @@ def quoted_line(spark, sf_dir):
     """Extract lines of the FFS open (1996) and FFS denied (August) reports."""
     open_rep = OR.open_report(_open(spark, sf_dir), "ffs", YEAR_LO, YEAR_HI, CFG)
     denied_rep = DR.denied_report(_denied(spark, sf_dir), "ffs", MONTH_LO, MONTH_HI, CFG)
-    return open_rep.select(
-        F.lit("open").alias("report"), P.quoted_line(list(OPEN_COLUMNS)).alias("line")
-    ).unionByName(denied_rep.select(F.lit("denied").alias("report"), P.quoted_line(list(DENIED_COLUMNS)).alias("line")))
+    open_lines = open_rep.select(
+        F.lit("open").alias("report"), P.quoted_line(list(OPEN_COLUMNS), schema=open_rep.schema).alias("line")
+    )
+    denied_lines = denied_rep.select(
+        F.lit("denied").alias("report"), P.quoted_line(list(DENIED_COLUMNS), schema=denied_rep.schema).alias("line")
+    )
+    return open_lines.unionByName(denied_lines)
 
 
 QUERIES: dict[str, Query] = {

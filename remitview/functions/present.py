@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitview.functions.derive import col_
 
@@ -19,14 +20,32 @@ def render_text(c) -> Column:
     return F.coalesce(col_(c).cast("string"), F.lit(NULL_TEXT))
 
 
-def quoted_line(cols, sep: str = '","') -> Column:
+def render_typed(c: str, dtype: T.DataType) -> Column:
+    """``render_text`` that also renders timestamps exactly like ``str(datetime)``.
+
+    A timestamp shows six fraction digits when it has a fraction and none
+    otherwise ('2025-02-11 08:00:00.500000', '2025-02-11 08:00:00'); a plain
+    cast would print '...08:00:00.5'.
+    """
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        x = F.col(c)
+        text = F.when(F.date_format(x, "SSSSSS") == F.lit("000000"), F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
+        text = text.otherwise(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        return F.coalesce(text, F.lit(NULL_TEXT))
+    return render_text(c)
+
+
+def quoted_line(cols, sep: str = '","', schema: T.StructType | None = None) -> Column:
     """One extract line: every value quoted, joined by '","'.
 
     Values are coalesced first because ``concat_ws`` silently drops nulls.
     Embedded quotes are written as they are (byte parity with the original
     extract); use ``sources.sink.write_quoted_csv`` for an escaped file.
+    With the frame's ``schema`` (column names), timestamps render as ``str()``.
     """
-    return F.concat(F.lit('"'), F.concat_ws(sep, *[render_text(c) for c in cols]), F.lit('"'))
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    parts = [render_typed(c, types[c]) if isinstance(c, str) and c in types else render_text(c) for c in cols]
+    return F.concat(F.lit('"'), F.concat_ws(sep, *parts), F.lit('"'))
 
 
 def display_money(c) -> Column:

@@ -73,7 +73,7 @@ def quoted_text(df: DataFrame, template: str, program: str | None = None) -> Dat
     spark = df.sparkSession
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("is_body", T.IntegerType())])
     head = spark.createDataFrame([(header_line([h for _, h in pairs]), 0)], schema)
-    body = df.select(quoted_line([c for c, _ in pairs]).alias("value"), F.lit(1).alias("is_body"))
+    body = df.select(quoted_line([c for c, _ in pairs], schema=df.schema).alias("value"), F.lit(1).alias("is_body"))
     return head.coalesce(1).unionByName(body)
 
 

@@ -83,3 +83,12 @@ def test_display_view_formats_real_columns_by_name(spark):
     denied = P.display_view(C.denied_ffs(spark, SF01), "denied").first()
     assert denied["actual_amount_recovered"] is None or denied["actual_amount_recovered"].startswith(("$", "-$"))
     assert len(denied["from_dos"]) == 8  # MM/DD/YY text kept
+
+
+def test_typed_rendering_of_timestamps_matches_python(spark):
+    import datetime as dt_
+
+    values = [dt_.datetime(2025, 2, 11, 8, 0), dt_.datetime(2025, 2, 11, 8, 0, 0, 500000), dt_.datetime(2025, 2, 11, 8, 0, 0, 7)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "t timestamp_ntz")
+    got = [r[0] for r in df.select(P.quoted_line(["t"], schema=df.schema)).collect()]
+    assert got == ['"' + str(v) + '"' for v in values] + ['"None"']
