@@ -28,13 +28,17 @@ def render_typed(c: str, dtype: T.DataType) -> Column:
     cast would print '...08:00:00.5'.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        x = F.col(c)
-        text = F.when(F.date_format(x, "SSSSSS") == F.lit("000000"), F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
-        text = text.otherwise(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-        return F.coalesce(text, F.lit(NULL_TEXT))
+        return F.coalesce(timestamp_text(c), F.lit(NULL_TEXT))
     return render_text(c)
 
 
+def timestamp_text(c) -> Column:
+    """Timestamp as ``str(datetime)`` text; null stays null."""
+    x = col_(c)
+    text = F.when(F.date_format(x, "SSSSSS") == F.lit("000000"), F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
+    return text.otherwise(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def quoted_line(cols, sep: str = '","', schema: T.StructType | None = None) -> Column:
     """One extract line: every value quoted, joined by '","'.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from remitview.functions.present import NULL_TEXT, quoted_line
+from remitview.functions.present import NULL_TEXT, quoted_line, timestamp_text
 from remitview.plans.headers import headers_for
 
 CSV_OPTIONS = {
@@ -58,7 +58,11 @@ def write_quoted_csv(
 ) -> None:
     """Escaped, fully quoted CSV with the report headers."""
     pairs = headers_for(template, program)
-    out = df.select(*[F.col(c).alias(h) for c, h in pairs], *[F.col(p) for p in partition_by or []])
+    types = dict(df.dtypes)
+    # Timestamps as str(datetime) text: the writer's pattern would either drop
+    # fractional seconds or pad whole ones.
+    cells = [(timestamp_text(c) if types[c].startswith("timestamp") else F.col(c)).alias(h) for c, h in pairs]
+    out = df.select(*cells, *[F.col(p) for p in partition_by or []])
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode(mode).options(**CSV_OPTIONS)
