@@ -21,7 +21,7 @@ from remitview.functions import period
 from remitview.functions import present as P
 from remitview.operators import crosswalk as X
 from remitview.operators.preagg import denial_multiplicity, live_posting_totals
-from remitview.operators.sizing import broadcast_if_small
+from remitview.operators.sizing import broadcast_if_small, fits
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
 from remitview.plans.headers import DENIED_COLUMNS, OPEN_COLUMNS
@@ -292,8 +292,10 @@ def distinct_after_group(spark, sf_dir):
 def _action_lookup(spark, sf_dir, cfg):
     t = _denied(spark, sf_dir)
     resolved = X.resolve(t["action_xwalk"], cfg.case_sensitive_codes)
+    small = fits(t["action_xwalk"], cfg.broadcast_max_rows)  # raw input bounds the resolved table
     described = X.lookup(
-        t["claim_b"].select("action_cd"), "action_cd", resolved, "action_description", None, cfg.case_sensitive_codes
+        t["claim_b"].select("action_cd"), "action_cd", resolved, "action_description", None, cfg.case_sensitive_codes,
+        small=small,
     )
     return described.groupBy("action_cd", "action_description").agg(_count())
 
@@ -313,11 +315,14 @@ def carrier_description(spark, sf_dir):
     t = _denied(spark, sf_dir)
     r1 = X.resolve(t["carrier_xwalk1"])
     r2 = X.resolve(t["carrier_xwalk2"])
+    mr = CFG.broadcast_max_rows
     claim_side = X.lookup(
-        t["claim_b"].select(F.col("carrier_action_cd").alias("code")), "code", r1, "description", CFG.carrier_desc_default
+        t["claim_b"].select(F.col("carrier_action_cd").alias("code")), "code", r1, "description", CFG.carrier_desc_default,
+        small=fits(t["carrier_xwalk1"], mr),
     ).withColumn("side", F.lit("claim"))
     denial_side = X.lookup(
-        t["denial"].select(F.col("carrier_action_cd2").alias("code")), "code", r2, "description", CFG.carrier_desc_default
+        t["denial"].select(F.col("carrier_action_cd2").alias("code")), "code", r2, "description", CFG.carrier_desc_default,
+        small=fits(t["carrier_xwalk2"], mr),
     ).withColumn("side", F.lit("denial"))
     return claim_side.unionByName(denial_side).groupBy("side", "code", "description").agg(_count())
 
@@ -326,14 +331,16 @@ def denial_type(spark, sf_dir):
     """ACTIONABLE / FINAL / null from two ordered code sets."""
     t = _denied(spark, sf_dir)
     resolved = X.resolve(X.code_sets_as_crosswalk(t["denial_code_set"], ("ACTIONABLE", "FINAL")))
-    typed = X.lookup(t["claim_b"].select("action_cd"), "action_cd", resolved, "denial_type")
+    small = fits(t["denial_code_set"], CFG.broadcast_max_rows)
+    typed = X.lookup(t["claim_b"].select("action_cd"), "action_cd", resolved, "denial_type", small=small)
     return typed.groupBy("action_cd", "denial_type").agg(_count())
 
 
 def action_exclusion(spark, sf_dir):
     """NOT IN a literal list (nulls rejected, comma literal not split)."""
     t = _denied(spark, sf_dir)
-    kept = X.exclude_codes(t["claim_b"].select("action_cd"), "action_cd", t["action_exclusion"])
+    small = fits(t["action_exclusion"], CFG.broadcast_max_rows)
+    kept = X.exclude_codes(t["claim_b"].select("action_cd"), "action_cd", t["action_exclusion"], small=small)
     return kept.groupBy("action_cd").agg(_count())
 
 
