@@ -1,9 +1,11 @@
 """Broadcast only behind a size check.
 
-``fits`` runs one bounded job (``limit(n + 1).count()``): it stops reading as
-soon as the bound is exceeded, so checking a large side costs at most
-``n + 1`` rows.  Above the bound the caller's join stays a shuffle join and
-AQE re-plans it from the real shuffle sizes.
+``fits`` runs one job (``limit(n + 1).count()``): every task stops after
+``n + 1`` rows of its partition, so the check costs at most one scan of the
+checked side (pruned to the columns it selects, filters pushed down) and
+often much less.  In the monthly run the checked claim side is persisted, so
+the check is the scan the report needs anyway.  Above the bound the caller's
+join stays a shuffle join and AQE re-plans it from the real shuffle sizes.
 
 ``fits_many`` checks several candidates as concurrent Spark jobs (one driver
 thread each), so a report pays for its checks once, not once per join.
