@@ -17,6 +17,7 @@ import json
 import os
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -62,8 +63,10 @@ def main() -> None:
         t0 = time.perf_counter()
         tables = {**standins.open_tables(spark, sf_dir), **standins.denied_tables(spark, sf_dir)}
         with window_inputs(tables, catalog.MONTH_LO, catalog.MONTH_HI) as month:
-            for df in template_reports(month, catalog.MONTH_LO, catalog.MONTH_HI, catalog.CFG).values():
-                run(df)
+            reports = template_reports(month, catalog.MONTH_LO, catalog.MONTH_HI, catalog.CFG)
+            with ThreadPoolExecutor(max_workers=len(reports)) as pool:  # as run_month writes them
+                for f in [pool.submit(run, df) for df in reports.values()]:
+                    f.result()
         t = time.perf_counter() - t0
         run_month_sec = t if run_month_sec is None else min(run_month_sec, t)
     run_month_sec = round(run_month_sec, 3)
