@@ -82,6 +82,29 @@ def window_inputs(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date):
             df.unpersist()
 
 
+def open_template(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
+    """The OPEN template for both programs, with a ``program`` column."""
+    rows = _with_program(OR.open_rows(tables, None, lo, hi, cfg, status=cfg.open_report_status), cfg)
+    return (
+        rows.groupBy("program", *OR.OPEN_GROUP_KEYS)
+        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("amount_recovered"))
+        .select("program", *OPEN_COLUMNS)
+    )
+
+
+def denied_template(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
+    """The DENIED template for both programs, with a ``program`` column."""
+    rows = _with_program(DR.denied_rows(tables, None, lo, hi, cfg), cfg)
+    return (
+        rows.groupBy("program", *DR.DENIED_GROUP_KEYS)
+        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("actual_amount_recovered"))
+        .select("program", *DENIED_COLUMNS)
+    )
+
+
+BUILDERS = {"open": open_template, "denied": denied_template}
+
+
 def template_reports(
     tables: dict[str, DataFrame],
     lo: dt.date,
@@ -89,19 +112,7 @@ def template_reports(
     cfg: ReportConfig = ReportConfig(),
 ) -> dict[str, DataFrame]:
     """``{'open': df, 'denied': df}``, each with a ``program`` column (ffs / cco)."""
-    open_rows = _with_program(OR.open_rows(tables, None, lo, hi, cfg, status=cfg.open_report_status), cfg)
-    open_df = (
-        open_rows.groupBy("program", *OR.OPEN_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("amount_recovered"))
-        .select("program", *OPEN_COLUMNS)
-    )
-    denied_rows = _with_program(DR.denied_rows(tables, None, lo, hi, cfg), cfg)
-    denied_df = (
-        denied_rows.groupBy("program", *DR.DENIED_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("actual_amount_recovered"))
-        .select("program", *DENIED_COLUMNS)
-    )
-    return {"open": open_df, "denied": denied_df}
+    return {t: BUILDERS[t](tables, lo, hi, cfg) for t in TEMPLATES}
 
 
 def run_month(
@@ -123,22 +134,27 @@ def run_month(
     base = f"{out_root.rstrip('/')}/run_date={stamp}"
     _write_status(spark, base, as_of, lo, hi, "running")
     with window_inputs(tables, lo, hi) as month:
-        paths = _write_reports(template_reports(month, lo, hi, cfg), base, stamp, fmt, single_file)
+        paths = _build_and_write(month, lo, hi, cfg, base, stamp, fmt, single_file)
     paths["_status"] = _write_status(spark, base, as_of, lo, hi, "complete")
     return paths
 
 
-def _write_reports(reports: dict[str, DataFrame], base: str, stamp: str, fmt: str, single_file: bool) -> dict:
-    """Write both templates as concurrent Spark jobs (one driver thread each).
+def _build_and_write(
+    tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig, base: str, stamp: str, fmt: str,
+    single_file: bool,
+) -> dict[str, str]:
+    """Build and write both templates as concurrent Spark jobs (one driver thread each).
 
-    The two templates share no stages, so their scans, joins and writes are
-    scheduled side by side; the first failure propagates.
+    The two templates share no stages, so their size checks, scans, joins and
+    writes are scheduled side by side; the first failure propagates.
     """
+
+    def one(template: str) -> str:
+        df = BUILDERS[template](tables, lo, hi, cfg)
+        return _write_template(df, template, f"{base}/report={template}", stamp, fmt, single_file)
+
     with ThreadPoolExecutor(max_workers=len(TEMPLATES)) as pool:
-        futures = {
-            t: pool.submit(_write_template, reports[t], t, f"{base}/report={t}", stamp, fmt, single_file)
-            for t in TEMPLATES
-        }
+        futures = {t: pool.submit(one, t) for t in TEMPLATES}
         return {t: f.result() for t, f in futures.items()}
 
 
