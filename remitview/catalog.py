@@ -20,7 +20,7 @@ from remitview.functions import derive as D
 from remitview.functions import period
 from remitview.functions import present as P
 from remitview.operators import crosswalk as X
-from remitview.operators.preagg import denial_multiplicity, live_posting_totals
+from remitview.operators.preagg import live_posting_totals
 from remitview.operators.sizing import broadcast_if_small, fits
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
@@ -246,8 +246,13 @@ def right_join_collapse(spark, sf_dir):
     claims = t["claim_b"].where(F.col("contract_num") == F.lit(CFG.contract_num)).select(
         "contract_num", "ar_seq", "remit_amt"
     )
-    denials = denial_multiplicity(t["denial"], CFG.contract_num)
-    per_key = denials.groupBy("contract_num", "ar_seq").agg(F.sum("n_denials").alias("n_denials"))
+    # Denial rows counted per claim key before the join (map-side combine).
+    per_key = (
+        t["denial"]
+        .where(F.col("contract_num") == F.lit(CFG.contract_num))
+        .groupBy("contract_num", "ar_seq")
+        .agg(F.count(F.lit(1)).cast("int").alias("n_denials"))
+    )
     joined = claims.join(per_key, ["contract_num", "ar_seq"], "inner")
     return joined.groupBy("ar_seq").agg(
         F.sum("n_denials").alias("n"),
