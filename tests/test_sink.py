@@ -96,3 +96,19 @@ def test_run_month_display_mode(spark, scratch):
     r = back.first()
     assert r["BILLED AMOUNT"].startswith("$") and len(r["FROM DOS"]) == 10
     assert back.count() == C.open_ffs(spark, SF01).count()
+
+
+def test_failed_run_stays_running(spark, scratch):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    tables = {**S.open_tables(spark, SF01), **S.denied_tables(spark, SF01)}
+    # A posting amount that fails when the job evaluates it.
+    tables["posting"] = tables["posting"].withColumn(
+        "remit_amt", F.when(F.col("claim_id") >= 0, F.raise_error(F.lit("posting feed broken"))).cast("decimal(18,2)")
+    )
+    out = os.path.join(scratch, "runs_fail")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        run_month(spark, tables, C.AS_OF, out)
+    assert read_status(spark, out, C.AS_OF) == "running"
