@@ -180,10 +180,9 @@ def _write_template(df: DataFrame, template: str, path: str, stamp: str, fmt: st
 
 
 def _write_status(spark: SparkSession, base: str, as_of: dt.date, lo: dt.date, hi: dt.date, state: str) -> str:
-    status = spark.createDataFrame(
-        [(state, as_of.isoformat(), lo.isoformat(), hi.isoformat(), ",".join(TEMPLATES))],
-        "state string, as_of string, first_day string, last_day string, templates string",
-    )
+    values = {"state": state, "as_of": as_of.isoformat(), "first_day": lo.isoformat(), "last_day": hi.isoformat(),
+              "templates": ",".join(TEMPLATES)}
+    status = spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in values.items()])
     path = f"{base}/_status"
     status.coalesce(1).write.mode("overwrite").json(path)
     return path

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from remitview.functions.present import NULL_TEXT, quoted_line, timestamp_text
 from remitview.plans.headers import headers_for
@@ -74,11 +73,11 @@ def write_quoted_csv(
 def quoted_text(df: DataFrame, template: str, program: str | None = None) -> DataFrame:
     """Header line + one quoted line per row: ``value`` and ``is_body`` (0 for the header)."""
     pairs = headers_for(template, program)
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("is_body", T.IntegerType())])
-    head = spark.createDataFrame([(header_line([h for _, h in pairs]), 0)], schema)
+    head = df.sparkSession.range(1, numPartitions=1).select(
+        F.lit(header_line([h for _, h in pairs])).alias("value"), F.lit(0).alias("is_body")
+    )
     body = df.select(quoted_line([c for c, _ in pairs], schema=df.schema).alias("value"), F.lit(1).alias("is_body"))
-    return head.coalesce(1).unionByName(body)
+    return head.unionByName(body)
 
 
 def write_quoted_text(
