@@ -30,10 +30,14 @@ def plans(spark):
     return out
 
 
-def test_no_python_udfs_anywhere(spark):
+def test_no_python_udfs_or_cross_joins_anywhere(spark):
+    forbidden = (
+        "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
+        "CartesianProduct", "BroadcastNestedLoopJoin",
+    )
     for k, q in catalog.QUERIES.items():
         text = formatted(q(spark, SF01))
-        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        for node in forbidden:
             assert node not in text, (k, node)
 
 
