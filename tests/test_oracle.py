@@ -19,13 +19,13 @@ def duck01():
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_query_matches_oracle_sf001(spark, duck01, key):
+def test_query_matches_oracle_sf0_01(spark, duck01, key):
     r = compare(spark, duck01, key, E.queries()[key], E.oracle_sql()[key], SF01)
     assert r["ok"], r
 
 
 @pytest.mark.parametrize("key", ["open_ffs", "open_cco", "denied_ffs", "denied_cco", "quoted_line"])
-def test_reports_match_oracle_smallest_scale(spark, key):
+def test_reports_match_oracle_sf0_001(spark, key):
     r = compare(spark, duck_connection(SF001), key, E.queries()[key], E.oracle_sql()[key], SF001)
     assert r["ok"], r
 
