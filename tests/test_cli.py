@@ -30,3 +30,16 @@ def test_cli_run_from_parquet_roles(spark, scratch):
     assert back.where(F.col("program") == "ffs").count() == C.denied_ffs(spark, SF001).count()
     back = spark.read.options(**sink.CSV_OPTIONS).csv(paths["open"])
     assert back.where(F.col("program") == "ffs").count() == C.open_ffs(spark, SF001).count()
+
+
+def test_missing_roles_fail_before_any_job(spark, scratch):
+    import pytest
+
+    from remitview.plans.run import run_month
+
+    tables = {**S.open_tables(spark, SF001), **S.denied_tables(spark, SF001)}
+    tables["posting"] = tables["posting"].drop("remit_amt")
+    del tables["carrier_b"]
+    with pytest.raises(ValueError, match=r"posting\.remit_amt.*|carrier_b"):
+        run_month(spark, tables, C.AS_OF, os.path.join(scratch, "never"))
+    assert not os.path.exists(os.path.join(scratch, "never"))
