@@ -107,7 +107,8 @@ def exclude_codes(
     Each listed literal is one code; a literal holding a comma is not split.
     A null entry in the list is not a code and is ignored.
     """
-    keys = codes.where(F.col(code).isNotNull()).select(code_key(code, case_sensitive).alias("__ex_key")).distinct()
+    # No de-duplication needed: an anti join gives the same rows for repeated keys.
+    keys = codes.where(F.col(code).isNotNull()).select(code_key(code, case_sensitive).alias("__ex_key"))
     side = broadcast_if_small(keys, max_rows, small)
     kept = df.where(F.col(code_col).isNotNull())
     return kept.join(side, code_key(F.col(code_col), case_sensitive) == F.col("__ex_key"), "left_anti")
