@@ -296,8 +296,8 @@ def distinct_after_group(spark, sf_dir):
 
 def _action_lookup(spark, sf_dir, cfg):
     t = _denied(spark, sf_dir)
-    resolved = X.resolve(t["action_xwalk"], cfg.case_sensitive_codes)
     small = fits(t["action_xwalk"], cfg.broadcast_max_rows)  # raw input bounds the resolved table
+    resolved = X.resolve(t["action_xwalk"], cfg.case_sensitive_codes, small=small)
     described = X.lookup(
         t["claim_b"].select("action_cd"), "action_cd", resolved, "action_description", None, cfg.case_sensitive_codes,
         small=small,
@@ -318,16 +318,17 @@ def action_description_nocase(spark, sf_dir):
 def carrier_description(spark, sf_dir):
     """Carrier crosswalks (ELSE 'NOCOD', also for null codes) on claim and denial codes."""
     t = _denied(spark, sf_dir)
-    r1 = X.resolve(t["carrier_xwalk1"])
-    r2 = X.resolve(t["carrier_xwalk2"])
     mr = CFG.broadcast_max_rows
+    small1, small2 = fits(t["carrier_xwalk1"], mr), fits(t["carrier_xwalk2"], mr)
+    r1 = X.resolve(t["carrier_xwalk1"], small=small1)
+    r2 = X.resolve(t["carrier_xwalk2"], small=small2)
     claim_side = X.lookup(
         t["claim_b"].select(F.col("carrier_action_cd").alias("code")), "code", r1, "description", CFG.carrier_desc_default,
-        small=fits(t["carrier_xwalk1"], mr),
+        small=small1,
     ).withColumn("side", F.lit("claim"))
     denial_side = X.lookup(
         t["denial"].select(F.col("carrier_action_cd2").alias("code")), "code", r2, "description", CFG.carrier_desc_default,
-        small=fits(t["carrier_xwalk2"], mr),
+        small=small2,
     ).withColumn("side", F.lit("denial"))
     return claim_side.unionByName(denial_side).groupBy("side", "code", "description").agg(_count())
 
@@ -335,8 +336,8 @@ def carrier_description(spark, sf_dir):
 def denial_type(spark, sf_dir):
     """ACTIONABLE / FINAL / null from two ordered code sets."""
     t = _denied(spark, sf_dir)
-    resolved = X.resolve(X.code_sets_as_crosswalk(t["denial_code_set"], ("ACTIONABLE", "FINAL")))
     small = fits(t["denial_code_set"], CFG.broadcast_max_rows)
+    resolved = X.resolve(X.code_sets_as_crosswalk(t["denial_code_set"], ("ACTIONABLE", "FINAL")), small=small)
     typed = X.lookup(t["claim_b"].select("action_cd"), "action_cd", resolved, "denial_type", small=small)
     return typed.groupBy("action_cd", "denial_type").agg(_count())
 

@@ -37,17 +37,20 @@ def resolve(
     code: str = "code",
     priority: str = "priority",
     value: str = "description",
+    small: bool = False,
 ) -> DataFrame:
     """One row per match key: ``(xw_key, xw_value)`` of the first branch.
 
     Ties on priority are broken by the value, so the result is deterministic.
+    ``small`` (the crosswalk passed the broadcast size check): aggregate in a
+    single partition, which needs no exchange; otherwise the aggregation is
+    distributed like any other.
     """
     first = F.min(F.struct(F.col(priority).alias("p"), F.col(value).alias("v")))
-    return (
-        dim.where(F.col(code).isNotNull())
-        .groupBy(code_key(code, case_sensitive).alias("xw_key"))
-        .agg(first.getField("v").alias("xw_value"))
-    )
+    rows = dim.where(F.col(code).isNotNull())
+    if small:
+        rows = rows.coalesce(1)
+    return rows.groupBy(code_key(code, case_sensitive).alias("xw_key")).agg(first.getField("v").alias("xw_value"))
 
 
 def code_sets_as_crosswalk(code_set: DataFrame, order: tuple[str, ...]) -> DataFrame:

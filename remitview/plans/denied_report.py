@@ -58,14 +58,20 @@ def denied_claim_filter(cfg: ReportConfig, program: str | None, lo, hi):
     return cond
 
 
-def crosswalks(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
+def crosswalks(
+    tables: dict[str, DataFrame], cfg: ReportConfig, small: dict[str, bool] | None = None
+) -> dict[str, DataFrame]:
     """Resolve the four crosswalk inputs once (one row per match key each)."""
     cs = cfg.case_sensitive_codes
+    small = small or {}
     return {
-        "action": X.resolve(tables["action_xwalk"], cs),
-        "carrier1": X.resolve(tables["carrier_xwalk1"], cs),
-        "carrier2": X.resolve(tables["carrier_xwalk2"], cs),
-        "denial_type": X.resolve(X.code_sets_as_crosswalk(tables["denial_code_set"], DENIAL_TYPE_ORDER), cs),
+        "action": X.resolve(tables["action_xwalk"], cs, small=small.get("action", False)),
+        "carrier1": X.resolve(tables["carrier_xwalk1"], cs, small=small.get("carrier1", False)),
+        "carrier2": X.resolve(tables["carrier_xwalk2"], cs, small=small.get("carrier2", False)),
+        "denial_type": X.resolve(
+            X.code_sets_as_crosswalk(tables["denial_code_set"], DENIAL_TYPE_ORDER), cs,
+            small=small.get("denial_type", False),
+        ),
     }
 
 
@@ -141,7 +147,7 @@ def denied_rows(
     keys = _claim_side(tables, program, lo, hi, cfg).select("contract_num", "ar_seq")
     frames = {"claim_keys": keys, **(_dimension_frames(tables, cfg) if small is None else {})}
     small = {**(small or {}), **fits_many(frames, cfg.broadcast_max_rows)}
-    xw = crosswalks(tables, cfg)
+    xw = crosswalks(tables, cfg, small)
     cs, mr = cfg.case_sensitive_codes, cfg.broadcast_max_rows
 
     claims = denied_claims(tables, program, lo, hi, cfg, small)
