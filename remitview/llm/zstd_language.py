@@ -18,6 +18,8 @@ from remitview.llm.common import map_arrow
 #: ``ALL_DICTIONARIES / DICTIONARY`` languages share the whole evenly.
 DICTIONARY = 128 * 1024
 ALL_DICTIONARIES = 8 * 1024 * 1024
+#: The most frequent languages are learned, no more than would leave each 2 KB of dictionary.
+MAX_LANGUAGES = ALL_DICTIONARIES // 2048
 #: Characters that a training text gives to a dictionary at most, and the candidate texts of a language.
 SAMPLE_CHARS = 1000
 SAMPLE_TEXTS = 300
@@ -44,17 +46,17 @@ def normal(text: str) -> str:
 def learn(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Raw-content dictionaries from the rows of ``train`` that have a language and a letter.
 
-    Counts by language come from all rows. The texts are a sample by the hash of their id and text,
+    Counts by language come from all rows; ``MAX_LANGUAGES`` of them are small enough to broadcast. The texts are a sample by the hash of their id and text,
     of at most about ``2 * SAMPLE_TEXTS`` rows a language and ``SAMPLE_CHARS`` characters each, so
     what reaches the driver is bounded for each language by parameters.
     """
     rows = train.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("id")
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = (
-        rows.join(counts, "lang")
+        rows.join(F.broadcast(counts), "lang")
         .withColumn("draw", draw)
         .where(F.col("draw") * F.col("n") < 2 * SAMPLE_TEXTS)
         .select("lang", "draw", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
