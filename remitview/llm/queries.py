@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitview.llm import packing, quality_rules, simhash_trie, zstd_language
+from remitview.llm import mcd_outliers, packing, quality_rules, simhash_trie, zstd_language
 from remitview.llm.common import id_text_crc, table
 
 
@@ -44,6 +44,11 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document against its language and source."""
+    return mcd_outliers.outliers(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; the held-out quarter doesn't teach."""
     docs = table(spark, sf_dir, "documents")
@@ -53,5 +58,5 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_simhash_trie, op7_sum_of_squares_packing, op10_zstd_language)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op10_zstd_language)}
 ORACLES: dict[str, str] = {}
