@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitview.llm.common import WHITESPACE, materialise
+from remitview.llm.common import WHITESPACE, let, materialise
 
 SYMBOLS = "#*$%&|<>"
 #: Share of a group that an estimate is concentrated on, concentration steps, and rows below which
@@ -30,11 +30,6 @@ _X = [f"x{i}" for i in range(_D)]
 _PAIRS = [(i, j) for i in range(_D) for j in range(i + 1)]
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def words(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE), lambda x: x != "")
 

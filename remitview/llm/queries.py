@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitview.llm import mcd_outliers, packing, quality_rules, simhash_trie, zstd_language
+from remitview.llm import license_digests, mcd_outliers, packing, quality_rules, simhash_trie, voronoi_topk, zstd_language
 from remitview.llm.common import id_text_crc, table
 
 
@@ -33,6 +33,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(rows, model).select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best inner products of every hundredth vector against all others."""
+    return voronoi_topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+
+
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over fingerprints of 3-word shingles within 2 bits."""
     found = simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, budget=2)
@@ -49,6 +54,12 @@ def op8_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcd_outliers.outliers(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence that each document is, and the licences whose notices are lines of it."""
+    found = license_digests.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
 def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; the held-out quarter doesn't teach."""
     docs = table(spark, sf_dir, "documents")
@@ -58,5 +69,5 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op10_zstd_language)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_voronoi_topk, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language)}
+ORACLES: dict[str, str] = {"op9_license_digests": license_digests.oracle_sql()}
