@@ -47,6 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitview.llm import license_digests, mcd_outliers, packing, quality_rules, simhash_trie, suffix_dedup, voronoi_topk, zstd_language
+from remitview.llm import license_digests, line_dedup, mcd_outliers, packing, quality_rules, simhash_trie, suffix_dedup, voronoi_topk, zstd_language
 from remitview.llm.common import id_text_crc, table
 
 
@@ -18,13 +18,6 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return labels.where(~_held_out(3, 1))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or with underscores until no column of ``df`` has it."""
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return name
-
-
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of the held-out third don't teach."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -33,6 +26,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(rows, model).select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers of every document that duplicate a line kept elsewhere."""
+    found = line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.size("lines").alias("n_lines"), "lines")
+
+
 def op3_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten best inner products of every hundredth vector against all others."""
     return voronoi_topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
@@ -76,5 +75,5 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_voronoi_topk, op4_suffix_dedup, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language)}
 ORACLES: dict[str, str] = {"op9_license_digests": license_digests.oracle_sql()}

@@ -24,7 +24,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitview.llm.common import batches, map_arrow, materialise, ship
+from remitview.llm.common import batches, free_name, map_arrow, materialise, ship
 
 #: Words of a passage; words of the hash that selects positions; words compared to the right of one.
 LENGTH, GRAM, CORE = 50, 8, 25
@@ -215,11 +215,13 @@ def cut(text: str | None, cuts) -> str | None:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every repeated passage cut out except at its first occurrence. All rows and
     columns stay; rows whose id is null keep their text. A text all of whose words are cut is empty."""
-    found = materialise(repeats(docs, id_col, text_col).where(F.size("later") > 0).select(F.col("id").alias("__cut_id"), F.col("later").alias("__cuts")), "suffix-cuts")
+    own, cuts_of = free_name(docs, "__id"), free_name(docs, "__cuts")
+    found = repeats(docs, id_col, text_col).where(F.size("later") > 0).select(F.col("id").alias(own), F.col("later").alias(cuts_of))
+    found = materialise(found, "suffix-cuts")
 
     @F.pandas_udf("string")
     def cut_all(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([cut(t, c) for t, c in zip(texts, cuts, strict=True)], dtype=object)
 
-    joined = docs.join(found, docs[id_col].cast("long") == found["__cut_id"], "left")
-    return joined.withColumn(text_col, F.when(F.col("__cuts").isNull(), F.col(text_col)).otherwise(cut_all(F.col(text_col), F.col("__cuts")))).select(docs.columns)
+    joined = docs.join(found, F.col(id_col).cast("long") == F.col(own), "left")
+    return joined.withColumn(text_col, F.when(F.col(cuts_of).isNull(), F.col(text_col)).otherwise(cut_all(F.col(text_col), F.col(cuts_of)))).select(docs.columns)
