@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 #: White space of every word pattern here: bytes 0x20 and 0x09-0x0D. ``bytes.split()`` splits at exactly these.
 WHITESPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows handed to a Python task at once; whole texts are long, so batches stay small.
-ROWS_PER_BATCH = 1000
+#: Rows, and bytes, handed to a Python task at once: whole texts are long, keys are short.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 20_000, "4m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -82,6 +82,7 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with small batches."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return df.mapInArrow(fn, schema)
 
 
