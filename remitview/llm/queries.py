@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitview.llm import license_digests, line_dedup, mcd_outliers, packing, quality_rules, simhash_trie, suffix_dedup, voronoi_topk, zstd_language
+from remitview.llm import license_digests, line_dedup, mcd_outliers, packing, quality_rules, sentencepiece_viterbi, simhash_trie, suffix_dedup, voronoi_topk, zstd_language
 from remitview.llm.common import id_text_crc, table
 
 
@@ -44,6 +44,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), (F.size("later") > 0).alias("cut"), "later", "first")
 
 
+def op5_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and checksum of every document's ids, and whether they decode to the text."""
+    return sentencepiece_viterbi.round_trip(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over fingerprints of 3-word shingles within 2 bits."""
     found = simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, budget=2)
@@ -75,5 +80,5 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op5_sentencepiece_viterbi, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language)}
 ORACLES: dict[str, str] = {"op9_license_digests": license_digests.oracle_sql()}
