@@ -10,8 +10,10 @@ the highest sum of piece scores (equal sums: the longer last piece).
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,8 +27,12 @@ VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 #: A character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
-#: Stretches that are remembered with their ids in a worker, and the longest such stretch.
-REMEMBERED, REMEMBERED_LENGTH = 200_000, 48
+#: Stretches that are remembered with their ids in a worker (twice as many at most: some 150 MB), and
+#: the longest such stretch.
+REMEMBERED, REMEMBERED_LENGTH = 250_000, 48
+
+#: Spaces with the letters, or with the other characters, after them.
+_STRETCH = re.compile(f"{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[^{SPACE}\\w]|[\\d_])+|{SPACE}+")
 
 
 class Pieces:
@@ -55,8 +61,8 @@ class Pieces:
         self.bytes_of = [b"" if i in special else model.id_to_piece(i).replace(SPACE, " ").encode() for i in ids]
         for b, i in self.byte_id.items():
             self.bytes_of[i] = bytes([b])
-        #: Every path has a boundary where a space follows another character, if no piece spans such a place.
-        self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.score)
+        #: If no piece spans two stretches, every path has a boundary wherever a stretch ends.
+        self.splits = all(len(_STRETCH.findall(p)) == 1 for p in self.score)
 
     def unknown(self, char: str) -> list[int]:
         """Ids of a character without a piece: its bytes, or the unknown id."""
@@ -166,48 +172,41 @@ def short(text: str, model: Pieces) -> list[int]:
     return [i for x in reversed(out) for i in x]
 
 
-def encode(text: str | None, model: Pieces, remembered: dict[str, tuple[int, ...]] | None = None) -> list[int]:
+class Memory(dict):
+    """Ids by stretch. When it is full, what was in use lately is kept and the rest forgotten."""
+
+    def __init__(self, model: Pieces):
+        super().__init__()
+        self.model, self.older = model, {}
+
+    def __missing__(self, stretch: str) -> tuple[int, ...] | list[int]:
+        if len(stretch) > REMEMBERED_LENGTH:
+            search = StreamingViterbi(self.model)
+            return [*search.feed(stretch), *search.finish()]
+        ids = self.older.get(stretch)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        ids = self[stretch] = tuple(short(stretch, self.model)) if ids is None else ids
+        return ids
+
+
+def encode(text: str | None, memory: Memory) -> list[int]:
     """Ids of a text; none for a null or empty one."""
     if not text:
         return []
-    escaped = text.replace(" ", SPACE)
-    if model.prefix:
-        escaped = SPACE + escaped
-    search = lambda x: (lambda s: [*s.feed(x), *s.finish()])(StreamingViterbi(model))
+    model = memory.model
+    escaped = (SPACE if model.prefix else "") + text.replace(" ", SPACE)
     if not model.splits:
-        return search(escaped)
-    out: list[int] = []
-    remembered = {} if remembered is None else remembered
-    for stretch in _stretches(escaped):
-        if len(stretch) > REMEMBERED_LENGTH:
-            out += search(stretch)
-            continue
-        ids = remembered.get(stretch)
-        if ids is None:
-            if len(remembered) >= REMEMBERED:
-                remembered.clear()
-            ids = remembered[stretch] = tuple(short(stretch, model))
-        out += ids
-    return out
-
-
-def _stretches(escaped: str) -> Iterator[str]:
-    """Cut before each space that follows another character: all paths have a boundary there."""
-    words = escaped.split(SPACE)
-    spaces = 0
-    for i, word in enumerate(words):
-        spaces += i > 0
-        if word:
-            yield SPACE * spaces + word
-            spaces = 0
-    if spaces:
-        yield SPACE * spaces
+        search = StreamingViterbi(model)
+        return [*search.feed(escaped), *search.finish()]
+    return list(chain.from_iterable(map(memory.__getitem__, _STRETCH.findall(escaped))))
 
 
 def decode(ids, model: Pieces) -> str:
     """Text of ids; bytes that form no character become replacement characters."""
     table = model.bytes_of
-    text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+    text = b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")
     return text[1:] if model.prefix and text.startswith(" ") else text
 
 
@@ -216,9 +215,10 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id
     Repeated rows and null ids come back as they came; an empty table gives an empty result."""
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, remembered = pieces(public_tokenizers.path(vocabulary)), {}
+        model = pieces(public_tokenizers.path(vocabulary))
+        memory = Memory(model)
         for part in parts:
-            ids = [np.array(encode(x, model, remembered), np.int32) for x in part.column(1).to_pylist()]
+            ids = [np.array(encode(x, memory), np.int32) for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -240,11 +240,12 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc
     """``(id, n_ids, ids_crc32, same)``: ``same`` if the decoded ids are the text again (null: empty)."""
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, remembered = pieces(public_tokenizers.path(vocabulary)), {}
+        model = pieces(public_tokenizers.path(vocabulary))
+        memory = Memory(model)
         for part in parts:
             rows = []
             for text in part.column(1).to_pylist():
-                ids = encode(text, model, remembered)
+                ids = encode(text, memory)
                 rows.append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), decode(ids, model) == (text or "")))
             n, crc, same = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], names=["id", "n_ids", "ids_crc32", "same"])
