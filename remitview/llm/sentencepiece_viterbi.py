@@ -10,7 +10,6 @@ the highest sum of piece scores (equal sums: the longer last piece).
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -18,6 +17,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ UNKNOWN_PENALTY = 10.0
 REMEMBERED, REMEMBERED_LENGTH = 250_000, 48
 
 #: Spaces with the letters, or with the other characters, after them.
-_STRETCH = re.compile(f"{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[^{SPACE}\\w]|[\\d_])+|{SPACE}+")
+_STRETCH = regex.compile(rf"{SPACE}*\p{{L}}+|{SPACE}*[^{SPACE}\p{{L}}]+|{SPACE}+")
 
 
 class Pieces:
