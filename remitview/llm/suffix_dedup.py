@@ -118,19 +118,26 @@ def _agreeing(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window around an agreeing suffix; a later one with equal words in its own text is ``later`` at once."""
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int32()), ("id", pa.int64()), ("pos", pa.int32()), ("later", pa.bool_())])
+    """Every window around an agreeing suffix. ``kind`` 1: its words stand earlier in its own text, which
+    decides it; such rows get hashes of their own, so that a text of one word doesn't fill a task.
+    ``kind`` 2: the first of several in its own text."""
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int32()), ("id", pa.int64()), ("pos", pa.int32()), ("kind", pa.int8())])
     for part in parts:
         for doc, text, starts in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
             words = Words(text)
-            anchors = words.anchors()
-            each, of = np.unique(anchors, return_inverse=True)
-            keys = words.runs(CORE, each)
-            at = np.flatnonzero(np.isin(keys, words.runs(CORE, np.array(starts)))[of])
-            h, c = words.runs(LENGTH, at).view(np.int64), words.check(LENGTH, at)
-            later = np.ones(len(at), bool)
-            later[np.unique(h, return_index=True)[1]] = False
-            yield from batches({"h": h, "c": c, "id": np.full(len(at), doc), "pos": at.astype(np.int32), "later": later}, schema, 10_000)
+            if words.n < LENGTH:  # shares its id with a longer text
+                continue
+            each, of = np.unique(words.anchors(), return_inverse=True)
+            starts = np.array(starts)
+            known = words.runs(CORE, starts[starts <= words.n - CORE])
+            at = np.flatnonzero(np.isin(words.runs(CORE, each), known)[of])
+            h, c = words.runs(LENGTH, at), words.check(LENGTH, at)
+            first, count = np.unique(h, return_index=True, return_counts=True)[1:]
+            kind = np.ones(len(at), np.int8)
+            kind[first] = np.where(count > 1, 2, 0)
+            own = kind == 1
+            h[own] = (h[own] ^ (at[own].astype(np.uint64) + np.uint64(doc & (1 << 63) - 1) * _BASE)) * _MIX
+            yield from batches({"h": h.view(np.int64), "c": c, "id": np.full(len(at), doc), "pos": at.astype(np.int32), "kind": kind}, schema, 10_000)
 
 
 def _repeats(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,12 +146,12 @@ def _repeats(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before: tuple | None = None
 
     def emit(rows: pa.RecordBatch, following: tuple | None) -> pa.RecordBatch:
-        h, c, own = rows.column(0).to_numpy(), rows.column(1).to_numpy(), rows.column(4).to_numpy(zero_copy_only=False)
+        h, c, kind = (rows.column(i).to_numpy() for i in (0, 1, 4))
         same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
         left = np.concatenate([[before == (h[0], c[0])], same])
         right = np.concatenate([same, [following == (h[-1], c[-1])]])
-        out = pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(left | own)], names=["id", "pos", "later"])
-        return out.filter(pa.array(left | right | own))
+        out = pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(left | (kind == 1))], names=["id", "pos", "later"])
+        return out.filter(pa.array(left | right | (kind > 0)))
 
     last = lambda b, i: (b.column(0)[i].as_py(), b.column(1)[i].as_py())
     for part in parts:
@@ -192,7 +199,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     agreeing = suffixes.repartition("key").sortWithinPartitions("key", "id", "pos").mapInArrow(_agreeing, "id long, pos int")
     # at most one row for each distinct key of a text, so a list is shorter than its text
     positions = materialise(agreeing.groupBy("id").agg(F.collect_set("pos").alias("starts")), "suffix-positions")
-    windows = map_arrow(rows.join(positions, "id").select("id", "text", "starts"), _windows, "h long, c int, id long, pos int, later boolean")
+    windows = map_arrow(rows.join(positions.hint("merge"), "id").select("id", "text", "starts"), _windows, "h long, c int, id long, pos int, kind byte")
     found = windows.repartition("h", "c").sortWithinPartitions("h", "c", "id", "pos").mapInArrow(_repeats, "id long, pos int, later boolean")
     lists = found.groupBy("id").agg(*(F.collect_set(F.when(F.col("later") == x, F.col("pos"))).alias(n) for n, x in (("later", True), ("first", False))))
     return map_arrow(lists, _merged, "id long, later array<int>, first array<int>")
@@ -223,5 +230,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def cut_all(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([cut(t, c) for t, c in zip(texts, cuts, strict=True)], dtype=object)
 
-    joined = docs.join(found, F.col(id_col).cast("long") == F.col(own), "left")
+    joined = docs.join(found.hint("merge"), F.col(id_col).cast("long") == F.col(own), "left")
     return joined.withColumn(text_col, F.when(F.col(cuts_of).isNull(), F.col(text_col)).otherwise(cut_all(F.col(text_col), F.col(cuts_of)))).select(docs.columns)
