@@ -20,6 +20,8 @@ SYMBOLS = "#*$%&|<>"
 #: Share of a group that an estimate is concentrated on, concentration steps, and rows below which
 #: a group takes the estimate of all documents instead of its own.
 SUBSET, STEPS, MIN_GROUP = 0.75, 3, 100
+#: Parts that each group's rows are dealt to where they meet their estimate: a hot group is no one task's.
+SALTS = 32
 #: Tail probability of a normal document beyond the cut.
 TAIL = 1e-13
 #: The transformed statistics, with the least standard deviation that an estimate takes for each
@@ -127,6 +129,11 @@ def _grid(d2: Column) -> Column:
     return F.round(F.log1p(d2), 3)
 
 
+def _meet(rows: DataFrame, params: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """``rows`` (with ``salt``) joined with the parameters of their keys, each group in ``SALTS`` parts."""
+    return rows.join(params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "salt"], how)
+
+
 def _estimate(rows: DataFrame, scale: float) -> DataFrame:
     """Centre, inverse Cholesky factor and log determinant of each (key, start) of ``rows``; ``scale``
     makes up for the covariance of a central subset being too small."""
@@ -146,7 +153,7 @@ def _estimate(rows: DataFrame, scale: float) -> DataFrame:
 
 
 def estimates(vectors: DataFrame) -> DataFrame:
-    """MCD estimate of each ``key`` of ``vectors(key, x0..)``.
+    """MCD estimate of each ``key`` of ``vectors(key, salt, x0..)``.
 
     Two starts are concentrated: medians with median deviations, and plain moments. Every step keeps
     the ``SUBSET`` of each key that is nearest by the last estimate and estimates anew; the start
@@ -156,7 +163,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
     scale = SUBSET / chi2_cdf(cut, _D + 2)
     grid = [F.percentile(F.round(x, 3), 0.5).alias(f"m{i}") for i, x in enumerate(_X)]
     centre = vectors.groupBy("key").agg(*grid)
-    spread = vectors.join(centre, "key").groupBy("key").agg(*(F.percentile(F.round(F.abs(F.col(x) - F.col(f"m{i}")), 3), 0.5).alias(f"s{i}") for i, x in enumerate(_X)))
+    spread = _meet(vectors, centre, "key").groupBy("key").agg(*(F.percentile(F.round(F.abs(F.col(x) - F.col(f"m{i}")), 3), 0.5).alias(f"s{i}") for i, x in enumerate(_X)))
     floors = list(DIMENSIONS.values())
     medians = centre.join(spread, "key").select(
         "key",
@@ -167,9 +174,9 @@ def estimates(vectors: DataFrame) -> DataFrame:
     )
     params = materialise(medians.unionByName(_estimate(vectors.withColumn("start", F.lit(1)), 1.0)), "mcd-start")
     for _ in range(STEPS):
-        near = vectors.join(params, "key").select("key", "start", *_X, _grid(_distance()).alias("d"))
+        near = _meet(vectors, params, "key").select("key", "start", "salt", *_X, _grid(_distance()).alias("d"))
         limit = near.groupBy("key", "start").agg(F.percentile("d", SUBSET).alias("limit"))
-        params = materialise(_estimate(near.join(limit, ["key", "start"]).where("d <= limit"), scale), "mcd-step")
+        params = materialise(_estimate(_meet(near, limit, "key", "start").where("d <= limit"), scale), "mcd-step")
     best = params.groupBy("key").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     return params.join(best, ["key", "start"]).drop("start")
 
@@ -188,13 +195,13 @@ def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     counts = base_statistics(docs, id_col, text_col, group_cols).withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
     counts = materialise(counts, "mcd-counts")
     key = F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), k), F.lit("-")) for k in keys))
-    rows = counts.select("*", key.alias("own_key"), *transformed())
-    fit = rows.where("not base_failed").select("own_key", *_X)
+    rows = counts.select("*", key.alias("own_key"), F.pmod(F.xxhash64("id", "n_words", "word_chars"), F.lit(SALTS)).cast("int").alias("salt"), *transformed())
+    fit = rows.where("not base_failed").select("own_key", "salt", *_X)
     large = fit.groupBy("own_key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP).select("own_key", F.col("own_key").alias("key"))
-    both = fit.join(large, "own_key").select("key", *_X).unionByName(fit.select(F.lit("all").alias("key"), *_X))
+    both = _meet(fit, large, "own_key").select("key", "salt", *_X).unionByName(fit.select(F.lit("all").alias("key"), "salt", *_X))
     params = estimates(materialise(both, "mcd-vectors"))
-    keyed = rows.join(large, "own_key", "left").withColumn("key", F.coalesce("key", F.lit("all")))
-    judged = keyed.join(params, "key", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    keyed = _meet(rows, large, "own_key", how="left").withColumn("key", F.coalesce("key", F.lit("all")))
+    judged = _meet(keyed, params, "key", how="left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     limit = chi2_quantile(1 - tail, _D)
     enough = F.lit(fit.limit(MIN_GROUP).count() >= MIN_GROUP)
     kept = ~F.col("base_failed") & (~enough | F.coalesce(F.col("distance") <= limit, F.lit(True)))
