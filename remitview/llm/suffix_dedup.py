@@ -136,10 +136,21 @@ def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = np.ones(len(at), np.int8)
             kind[first] = np.where(count > 1, 2, 0)
             own = kind == 1
-            h[own] = (h[own] ^ (at[own].astype(np.uint64) + np.uint64(doc & (1 << 63) - 1) * _BASE)) * _MIX
+            h[own] = (h[own] ^ (at[own].astype(np.uint64) + np.uint64((doc * int(_BASE)) & ((1 << 64) - 1)))) * _MIX
             yield from batches({"h": h.view(np.int64), "c": c, "id": np.full(len(at), doc), "pos": at.astype(np.int32), "kind": kind}, schema, 10_000)
 
 
+def _distinct(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted windows without those of a repeated row: the same id and position again."""
+    before: list | None = None
+    for part in parts:
+        if part.num_rows:
+            columns = [part.column(i).to_numpy() for i in range(4)]
+            again = np.concatenate([[before == [x[0] for x in columns]], np.all([x[1:] == x[:-1] for x in columns], axis=0)])
+            before = [x[-1] for x in columns]
+            yield part.filter(pa.array(~again))
+
+
 def _repeats(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of windows sorted by (h, c, id, pos), the repeated ones; ``later`` unless first of their words."""
     held: pa.RecordBatch | None = None
@@ -154,7 +165,7 @@ def _repeats(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out.filter(pa.array(left | right | (kind > 0)))
 
     last = lambda b, i: (b.column(0)[i].as_py(), b.column(1)[i].as_py())
-    for part in parts:
+    for part in _distinct(parts):
         if not part.num_rows:
             continue
         if held is not None:
