@@ -1,11 +1,9 @@
 """DuckDB oracle SQL for every query in ``remitview.catalog``.
 
-The oracle is an independent derivation: it follows the shape of the original
-report SQL (nested derived tables, literal first-match CASE crosswalks,
-``NOT IN`` literal lists, outer joins collapsed by WHERE, ``GROUP BY`` ordinals,
-``SELECT DISTINCT``), whereas the Spark side pre-aggregates, resolves
-crosswalks into broadcast joins and uses anti joins.  Both read the same
-driver tables; the role stand-ins are re-declared here as DuckDB CTEs.
+The reports are written from their meaning, in staged CTEs: filter the month, total per claim,
+count denial lines per claim key, look texts up by first match in ``VALUES`` tables, group by all
+other columns. Both sides read the same driver tables; the role stand-ins are re-declared here as
+DuckDB CTEs.
 
 Blank-padded comparison is written out as ``rtrim(x) = rtrim('literal')``.
 """
@@ -14,8 +12,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from remitview.config import ReportConfig
 from remitview.sources import standins as S
 
+CFG = ReportConfig()
+
 # DuckDB spellings of the stand-in columns that use Spark-only date functions.
 _DUCK_OVERRIDES = {
     "claim": {
@@ -132,13 +133,6 @@ def not_excluded(expr: str) -> str:
     return "NOT " + _in_list(expr, S.ACTION_EXCLUSION)
 
 
-def _prog(expr: str, program: str | None) -> str:
-    if program is None:
-        return ""
-    op = "NOT IN" if program == "ffs" else "IN"
-    return f"AND substring({expr}, 1, 2) {op} ('60', '70')"
-
-
 # --- report templates ------------------------------------------------------
 
 OPEN_STATUS_CASE = (
@@ -151,80 +145,91 @@ DENIED_STATUS_CASE = (
 )
 
 
+def _first_match(name: str, xwalk) -> str:
+    """CTE ``name(code, description)``: the text of least priority for each trimmed code."""
+    rows = ", ".join(f"({S.sql_literal(c)}, {p}, {S.sql_literal(d)})" for c, p, d in xwalk)
+    return f"""{name} AS (
+  SELECT rtrim(v.code) AS code, v.description FROM (VALUES {rows}) v(code, priority, description)
+  QUALIFY row_number() OVER (PARTITION BY rtrim(v.code) ORDER BY v.priority) = 1)"""
+
+
+def _program(column: str, program: str | None) -> str:
+    """Condition that a claim number belongs to the program; a null number belongs to none."""
+    if program is None:
+        return "TRUE"
+    listed = ", ".join(S.sql_literal(x) for x in CFG.cco_prefixes)
+    belongs = f"substring({column}, 1, 2) IN ({listed})"
+    return belongs if program == "cco" else f"NOT {belongs}"
+
+
 def open_sql(program: str | None, lo: dt.date, hi: dt.date) -> str:
-    return with_roles("claim", "claim_header", "posting", "carrier_a") + f"""
-SELECT * FROM (
-  SELECT ar_seq, last_name, first_name, recipient_id, icn, icn_detail_line, from_dos, thru_dos,
-         bill_amt AS billed_amount, paid_amt AS line_paid_amount, paid_hdr_amt AS paid_amount,
-         paid_dt AS paid_date, CAST(SUM(remit_amt) AS DECIMAL(38,2)) AS amount_recovered,
-         carrier_cd AS carrier_code, carrier_nm AS carrier_name, bill_dt AS original_bill_date,
-         rebill_dt AS rebill_date, claim_status AS status, source_code
-  FROM (
-    SELECT c.ar_seq, c.last_name, c.first_name, c.recipient_id,
-           substring(c.icn, 1, length(c.icn) - 2) AS icn, right(c.icn, 2) AS icn_detail_line,
-           c.from_dos, c.thru_dos, c.bill_amt, c.paid_amt, h.paid_hdr_amt, h.paid_dt,
-           CASE WHEN p.remit_amt IS NULL THEN 0.00 ELSE p.remit_amt END AS remit_amt,
-           c.carrier_cd, a.carrier_nm, c.bill_dt,
-           CASE WHEN c.rebill_dt IS NOT NULL THEN c.rebill_dt ELSE c.bill_dt END AS rebill_dt,
-           {OPEN_STATUS_CASE.format(c="c.status_cd")} AS claim_status,
-           {SOURCE_CASE.format(c="c.source_elig_cd")} AS source_code
-    FROM claim c
-    JOIN claim_header h ON c.header_id = h.header_id
-    LEFT JOIN posting p ON c.claim_id = p.claim_id AND p.delete_ind = 'N'
-    LEFT OUTER JOIN carrier_a a ON a.carrier_cd = c.carrier_cd AND a.data_source_cd = 'GCS'
-                               AND a.carrier_office_cd = '0000'
-    WHERE c.delete_ind = 'N' AND c.contract_num = '478' AND c.project_cd >= '30'
-      {_prog("c.icn", program)}
-      AND c.bill_type_cd <> 'SP'
-      AND c.bill_dt BETWEEN DATE '{lo}' AND DATE '{hi}'
-      AND c.rebill_dt IS NULL
-      AND trim(c.carrier_cd) <> 'CNEXC'
-  ) t
-  GROUP BY ar_seq, last_name, first_name, recipient_id, icn, icn_detail_line, from_dos, thru_dos,
-           bill_amt, paid_amt, paid_hdr_amt, paid_dt, carrier_cd, carrier_nm, bill_dt, rebill_dt,
-           claim_status, source_code
-) tmp_tbl
-WHERE status = 'OPEN'
+    """Open claims of the month, from the report's meaning: totals per claim first, then carriers."""
+    return with_roles("claim", "claim_header", "posting", "carrier_a").rstrip() + f""",
+month AS (
+  FROM claim SELECT * WHERE status_cd = 'OPEN' AND rebill_dt IS NULL AND bill_dt >= DATE '{lo}' AND bill_dt <= DATE '{hi}'),
+eligible AS (
+  FROM month SELECT * WHERE {_program("icn", program)} AND trim(carrier_cd) <> 'CNEXC' AND project_cd >= '30'
+    AND bill_type_cd <> 'SP' AND contract_num = '478' AND delete_ind = 'N'),
+totals AS (
+  FROM posting SELECT claim_id, sum(coalesce(remit_amt, 0)) AS total WHERE delete_ind = 'N' GROUP BY claim_id),
+names AS (
+  FROM carrier_a SELECT carrier_cd AS code, carrier_nm AS name WHERE carrier_office_cd = '0000' AND data_source_cd = 'GCS'),
+rows_out AS (
+  SELECT e.ar_seq, e.last_name, e.first_name, e.recipient_id, left(e.icn, greatest(length(e.icn) - 2, 0)) AS icn,
+    right(e.icn, 2) AS icn_detail_line, e.from_dos, e.thru_dos, e.bill_amt AS billed_amount,
+    e.paid_amt AS line_paid_amount, hd.paid_hdr_amt AS paid_amount, hd.paid_dt AS paid_date,
+    coalesce(t.total, 0) AS total, e.carrier_cd AS carrier_code, names.name AS carrier_name,
+    e.bill_dt AS original_bill_date, e.bill_dt AS rebill_date, e.status_cd AS status,
+    if(coalesce(e.source_elig_cd, '') = 'RS', 'RSC', 'TPL') AS source_code
+  FROM eligible e INNER JOIN claim_header hd USING (header_id)
+    LEFT JOIN totals t USING (claim_id) LEFT JOIN names ON names.code = e.carrier_cd)
+SELECT * EXCLUDE (total), CAST(sum(total) AS DECIMAL(38,2)) AS amount_recovered FROM rows_out GROUP BY ALL
 """
 
 
-def denied_from_where(program: str | None, lo: dt.date, hi: dt.date) -> str:
-    return f"""
-FROM claim_b a
-LEFT JOIN carrier_b b ON a.carrier_cd = b.carrier_cd
-RIGHT OUTER JOIN denial c ON a.contract_num = c.contract_num AND a.ar_seq = c.ar_seq
-WHERE a.contract_num = '478'
-  {_prog("a.icn", program)}
-  AND CAST(a.remit_dt AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}' AND b.default_ind = 'Y'
-  AND {not_excluded("a.action_cd")}
-  AND a.transact_status_cd IN ('D', '8', 'V')
-"""
+def denied_ctes(program: str | None, lo: dt.date, hi: dt.date) -> str:
+    """Roles and CTEs: ``kept`` (the month's denied claims with a default carrier) and ``reasons``
+    (denial lines, counted, by claim key)."""
+    excluded = ", ".join(f"({S.sql_literal(c)})" for c in S.ACTION_EXCLUSION)
+    return with_roles("claim_b", "carrier_b", "denial").rstrip() + f""",
+excluded AS (SELECT DISTINCT rtrim(v.code) AS code FROM (VALUES {excluded}) v(code)),
+carriers AS (FROM carrier_b SELECT carrier_cd, carrier_nm WHERE default_ind = 'Y'),
+kept AS (
+  SELECT b.*, carriers.carrier_nm FROM claim_b b INNER JOIN carriers USING (carrier_cd)
+    ANTI JOIN excluded ON excluded.code = rtrim(b.action_cd)
+  WHERE b.action_cd IS NOT NULL AND b.transact_status_cd IN ('8', 'D', 'V') AND b.contract_num = '478'
+    AND b.remit_dt >= TIMESTAMP '{lo}' AND b.remit_dt < TIMESTAMP '{hi}' + INTERVAL 1 DAY
+    AND {_program("b.icn", program)}),
+reasons AS (
+  FROM denial SELECT ar_seq, action_cd1, carrier_action_cd1, carrier_action_cd2, count(*) AS times
+  WHERE contract_num = '478' GROUP BY ALL)"""
 
 
 def denied_sql(program: str | None, lo: dt.date, hi: dt.date) -> str:
-    return with_roles("claim_b", "carrier_b", "denial") + f"""
-SELECT DISTINCT
-  a.ar_seq, a.last_name, a.first_name, a.recipient_id,
-  substring(a.icn, 1, length(a.icn) - 2) AS icn, right(a.icn, 2) AS icn_detail_line,
-  strftime(a.from_dos, '%m/%d/%y') AS from_dos, strftime(a.thru_dos, '%m/%d/%y') AS thru_dos,
-  a.bill_amt AS billed_amount, a.paid_amt AS line_paid_amount, a.hdr_paid_amt AS paid_amount,
-  strftime(a.paid_dt, '%m/%d/%y') AS paid_date,
-  CAST(SUM(a.remit_amt) AS DECIMAL(38,2)) AS actual_amount_recovered,
-  c.action_cd1 AS denial_action_cd,
-  {case_first_match("a.action_cd", S.ACTION_XWALK, None)} AS action_description,
-  c.carrier_action_cd1 AS carrier_action_cd1,
-  {case_first_match("a.carrier_action_cd", S.CARRIER_XWALK1, "NOCOD")} AS carrier_description1,
-  c.carrier_action_cd2 AS carrier_action_cd2,
-  {case_first_match("c.carrier_action_cd2", S.CARRIER_XWALK2, "NOCOD")} AS carrier_description2,
-  {case_denial_type("a.action_cd")} AS denial_type,
-  b.carrier_cd AS carrier_code, b.carrier_nm AS carrier_name,
-  a.carrier_claim_ref AS carrier_denial_claim_number, a.carrier_ack_ts AS carrier_action_date,
-  strftime(a.bill_dt, '%m/%d/%y') AS original_bill_date,
-  strftime(a.last_bill_dt, '%m/%d/%y') AS rebill_date,
-  {DENIED_STATUS_CASE.format(c="a.transact_status_cd")} AS status,
-  {SOURCE_CASE.format(c="a.source_elig_cd")} AS source_code
-{denied_from_where(program, lo, hi)}
-GROUP BY 1,2,3,4,5,6,7,8,9,10,11,12,14,15,16,17,18,19,20,21,22,23,24,25,26,27,28
+    """Denied claims of the month: each claim line times its denial lines, texts looked up."""
+    types = [(code, ("ACTIONABLE", "FINAL").index(name), name) for code, name in S.DENIAL_CODE_SET]
+    day = lambda c: f"strftime({c}, '%m/%d/%y')"
+    return denied_ctes(program, lo, hi) + f""",
+{_first_match("actions", S.ACTION_XWALK)},
+{_first_match("types", types)},
+{_first_match("texts1", S.CARRIER_XWALK1)},
+{_first_match("texts2", S.CARRIER_XWALK2)},
+rows_out AS (
+  SELECT k.ar_seq, k.last_name, k.first_name, k.recipient_id, left(k.icn, greatest(length(k.icn) - 2, 0)) AS icn,
+    right(k.icn, 2) AS icn_detail_line, {day("k.from_dos")} AS from_dos, {day("k.thru_dos")} AS thru_dos,
+    k.bill_amt AS billed_amount, k.paid_amt AS line_paid_amount, k.hdr_paid_amt AS paid_amount,
+    {day("k.paid_dt")} AS paid_date, r.action_cd1 AS denial_action_cd, actions.description AS action_description,
+    r.carrier_action_cd1, if(texts1.code IS NULL, 'NOCOD', texts1.description) AS carrier_description1,
+    r.carrier_action_cd2, if(texts2.code IS NULL, 'NOCOD', texts2.description) AS carrier_description2,
+    types.description AS denial_type, k.carrier_cd AS carrier_code, k.carrier_nm AS carrier_name,
+    k.carrier_claim_ref AS carrier_denial_claim_number, k.carrier_ack_ts AS carrier_action_date,
+    {day("k.bill_dt")} AS original_bill_date, {day("k.last_bill_dt")} AS rebill_date,
+    {DENIED_STATUS_CASE.format(c="k.transact_status_cd")} AS status,
+    if(coalesce(k.source_elig_cd, '') = 'RS', 'RSC', 'TPL') AS source_code, k.remit_amt * r.times AS total
+  FROM kept k INNER JOIN reasons r USING (ar_seq)
+    LEFT JOIN actions ON actions.code = rtrim(k.action_cd) LEFT JOIN types ON types.code = rtrim(k.action_cd)
+    LEFT JOIN texts1 ON texts1.code = rtrim(k.carrier_action_cd) LEFT JOIN texts2 ON texts2.code = rtrim(r.carrier_action_cd2))
+SELECT * EXCLUDE (total), CAST(sum(total) AS DECIMAL(38,2)) AS actual_amount_recovered FROM rows_out GROUP BY ALL
 """
 
 
@@ -331,11 +336,11 @@ def oracle_queries() -> dict[str, str]:
         + "SELECT a.ar_seq, COUNT(*) AS n, CAST(SUM(a.remit_amt) AS DECIMAL(38,2)) AS remit_total"
         " FROM claim_b a RIGHT OUTER JOIN denial c ON a.contract_num = c.contract_num AND a.ar_seq = c.ar_seq"
         " WHERE a.contract_num = '478' GROUP BY a.ar_seq",
-        "recovered_fanout_sum": with_roles("claim_b", "carrier_b", "denial")
-        + "SELECT a.ar_seq, substring(a.icn, 1, length(a.icn) - 2) AS icn, right(a.icn, 2) AS icn_detail_line,"
-        " CAST(SUM(a.remit_amt) AS DECIMAL(38,2)) AS actual_amount_recovered"
-        + denied_from_where(None, _Y_LO, _Y_HI)
-        + " GROUP BY 1, 2, 3",
+        "recovered_fanout_sum": denied_ctes(None, _Y_LO, _Y_HI)
+        + """, lines AS (SELECT ar_seq, sum(times) AS times FROM reasons GROUP BY ar_seq)
+SELECT ar_seq, left(icn, greatest(length(icn) - 2, 0)) AS icn, right(icn, 2) AS icn_detail_line,
+  CAST(sum(remit_amt * times) AS DECIMAL(38,2)) AS actual_amount_recovered
+FROM kept INNER JOIN lines USING (ar_seq) GROUP BY ALL""",
         "group_by_ordinal": _claim_b(
             "SELECT carrier_cd, transact_status_cd, substring(icn, 1, 2) AS icn_prefix,"
             " CAST(SUM(remit_amt) AS DECIMAL(38,2)) AS remit_total, COUNT(*) AS n FROM claim_b GROUP BY 1, 2, 3"

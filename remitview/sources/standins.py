@@ -43,45 +43,45 @@ from pyspark.sql import types as T
 # whose selector column modulo len(list) equals i.
 # ---------------------------------------------------------------------------
 ACTION_CODES_IN_DATA = (
-    "ADDRX", "COBX", "DUPX", "DUPX   ", "ELIGX", "ab", "AB", "Ab", "", "   ",
-    None, "P1/P2", "XA", "XB", "XA, XB", "ZZZ9", "NOPE1", "TIMEX",
+    "K01", "K02", "K03", "K03   ", "K04", "ab", "AB", "Ab", "", "   ",
+    None, "P1/P2", "XA", "XB", "XA, XB", "ZZZ9", "K06", "K05",
 )
-CARRIER_CODES_IN_DATA = ("277X", "ADJX", "DUPX ", "", "  ", None, "UNKN", "TIMEX", "adjx")
-DENIAL_CD2_IN_DATA = ("277X", "ADJX", "", None, "UNKN", "DUPX", "TIMEX  ")
-DENIAL_ACTION_IN_DATA = ("ADDRX", "COBX", "DUPX", None, "ZZZ9")
+CARRIER_CODES_IN_DATA = ("L02", "L01", "K03 ", "", "  ", None, "UNKN", "K05", "l01")
+DENIAL_CD2_IN_DATA = ("L02", "L01", "", None, "UNKN", "K03", "K05  ")
+DENIAL_ACTION_IN_DATA = ("K01", "K02", "K03", None, "ZZZ9")
 
 ACTION_XWALK = (
-    ("ADDRX", 1, "Send to another address"),
-    ("COBX", 2, "Paid under coordination of benefits"),
-    ("DUPX  ", 3, "Duplicate submission"),
-    ("ELIGX", 4, "Member not eligible on date of service"),
-    ("ab", 5, "Lower-case variant"),
-    ("AB", 6, "Upper-case variant"),
-    ("ELIGX", 7, "Shadowed text, never returned"),
-    ("", 8, "No code supplied"),
-    ("P1/P2", 9, "Slash-joined pair, matched literally"),
-    ("XA", 10, "First half of a comma literal"),
-    ("TIMEX", 11, "Filing limit passed"),
-    ("DUPX", 12, "Shadowed by the padded key"),
-    ("NOPE1", 13, "Excluded before lookup"),
+    ("K01", 1, "text one"),
+    ("K02", 2, "text two"),
+    ("K03  ", 3, "text three"),
+    ("K04", 4, "text four"),
+    ("ab", 5, "text five"),
+    ("AB", 6, "text six"),
+    ("K04", 7, "text seven"),
+    ("", 8, "text eight"),
+    ("P1/P2", 9, "text nine"),
+    ("XA", 10, "text ten"),
+    ("K05", 11, "text eleven"),
+    ("K03", 12, "text twelve"),
+    ("K06", 13, "text thirteen"),
 )
 CARRIER_XWALK1 = (
-    ("277X", 1, "Acknowledged by carrier"),
-    ("ADJX", 2, "Adjudicated per contract"),
-    ("DUPX", 3, "Duplicate of an earlier bill"),
-    ("TIMEX", 4, "Past the filing limit"),
-    ("ADJX", 5, "Shadowed adjudication text"),
-    ("", 6, "Nothing supplied"),
+    ("L02", 1, "reason one"),
+    ("L01", 2, "reason two"),
+    ("K03", 3, "reason three"),
+    ("K05", 4, "reason four"),
+    ("L01", 5, "reason five"),
+    ("", 6, "reason six"),
 )
 # Same codes; only the empty code's text differs between the two lookups.
-CARRIER_XWALK2 = tuple((c, p, "Reason not given" if c == "" else d) for c, p, d in CARRIER_XWALK1)
+CARRIER_XWALK2 = tuple((c, p, "reason none" if c == "" else d) for c, p, d in CARRIER_XWALK1)
 DENIAL_CODE_SET = (
-    ("ADDRX", "ACTIONABLE"), ("ELIGX", "ACTIONABLE"), ("ab", "ACTIONABLE"), ("XA", "ACTIONABLE"),
-    ("NOPE1", "ACTIONABLE"),
-    ("COBX", "FINAL"), ("DUPX", "FINAL"), ("TIMEX", "FINAL"), ("P1/P2", "FINAL"), ("COBX", "FINAL"),
+    ("K01", "ACTIONABLE"), ("K04", "ACTIONABLE"), ("ab", "ACTIONABLE"), ("XA", "ACTIONABLE"),
+    ("K06", "ACTIONABLE"),
+    ("K02", "FINAL"), ("K03", "FINAL"), ("K05", "FINAL"), ("P1/P2", "FINAL"), ("K02", "FINAL"),
     ("XB", "FINAL"),
 )
-ACTION_EXCLUSION = ("NOPE1", "XA, XB", "TIMEX", "NOPE1", "NEVERSEEN")
+ACTION_EXCLUSION = ("K06", "XA, XB", "K05", "K06", "NEVERSEEN")
 
 XWALK_SCHEMA = T.StructType(
     [

@@ -63,26 +63,26 @@ CLAIM_B_DEFAULTS = dict(
     ar_seq=1, contract_num="478", last_name="DOE", first_name="JO", recipient_id="R1", icn="100000000101",
     from_dos=D(2025, 1, 2), thru_dos=D(2025, 1, 5), paid_dt=D(2025, 1, 20), bill_dt=D(2025, 1, 25),
     last_bill_dt=None, bill_amt=M("100.00"), paid_amt=M("80.00"), hdr_paid_amt=M("90.00"),
-    remit_amt=M("10.00"), remit_dt=dt.datetime(2025, 2, 10, 9, 30), action_cd="ADDRX", carrier_action_cd="277X",
+    remit_amt=M("10.00"), remit_dt=dt.datetime(2025, 2, 10, 9, 30), action_cd="K01", carrier_action_cd="L02",
     carrier_cd="S1", carrier_claim_ref="CR1", carrier_ack_ts=dt.datetime(2025, 2, 11, 8, 0),
     transact_status_cd="D", source_elig_cd=None,
 )
-DENIAL_DEFAULTS = dict(contract_num="478", ar_seq=1, action_cd1="ADDRX", carrier_action_cd1="C1", carrier_action_cd2="277X")
+DENIAL_DEFAULTS = dict(contract_num="478", ar_seq=1, action_cd1="K01", carrier_action_cd1="C1", carrier_action_cd2="L02")
 
 ACTION_XWALK = [
-    ("ADDRX", 1, "Send to another address"),
-    ("DUPX  ", 2, "Duplicate submission"),
-    ("ab", 3, "Lower-case variant"),
-    ("AB", 4, "Upper-case variant"),
-    ("ELIGX", 5, "Member not eligible"),
-    ("ELIGX", 6, "Shadowed text"),
-    ("", 7, "No code supplied"),
+    ("K01", 1, "text one"),
+    ("K03  ", 2, "text three"),
+    ("ab", 3, "text five"),
+    ("AB", 4, "text six"),
+    ("K04", 5, "Member not eligible"),
+    ("K04", 6, "Shadowed text"),
+    ("", 7, "text eight"),
     ("XA", 8, "Half of a comma literal"),
 ]
-CARRIER_XWALK1 = [("277X", 1, "Acknowledged"), ("DUPX", 2, "Duplicate"), ("", 3, "Nothing supplied")]
-CARRIER_XWALK2 = [("277X", 1, "Acknowledged"), ("DUPX", 2, "Duplicate"), ("", 3, "Reason not given")]
-DENIAL_CODE_SET = [("ADDRX", "ACTIONABLE"), ("ab", "ACTIONABLE"), ("DUPX", "FINAL"), ("XB", "FINAL"), ("DUPX", "FINAL")]
-EXCLUSION = [("NOPE1",), ("XA, XB",), ("NOPE1",)]
+CARRIER_XWALK1 = [("L02", 1, "reason one"), ("K03", 2, "reason three"), ("", 3, "reason six")]
+CARRIER_XWALK2 = [("L02", 1, "reason one"), ("K03", 2, "reason three"), ("", 3, "reason none")]
+DENIAL_CODE_SET = [("K01", "ACTIONABLE"), ("ab", "ACTIONABLE"), ("K03", "FINAL"), ("XB", "FINAL"), ("K03", "FINAL")]
+EXCLUSION = [("K06",), ("XA, XB",), ("K06",)]
 
 
 def open_tables(spark, claims, headers=None, postings=None, carriers=None):

@@ -153,7 +153,7 @@ def test_open_equals_brute_force(spark, claims, postings, carriers, program):
 
 # --- DENIED ----------------------------------------------------------------
 
-CODES = ["ADDRX", "DUPX", "DUPX  ", "ab", "AB", "ELIGX", "", "  ", "XA", "XB", "XA, XB", "NOPE1", "ZZ"]
+CODES = ["K01", "K03", "K03  ", "ab", "AB", "K04", "", "  ", "XA", "XB", "XA, XB", "K06", "ZZ"]
 claim_b_row = st.fixed_dictionaries(
     {
         "ar_seq": st.integers(1, 3),
@@ -165,7 +165,7 @@ claim_b_row = st.fixed_dictionaries(
             dt.datetime(2025, 1, 31, 23, 59), dt.datetime(2025, 3, 1, 0, 0),
         ]),
         "action_cd": st.sampled_from(CODES + [None]),
-        "carrier_action_cd": maybe(st.sampled_from(["277X", "DUPX ", "", "ZZ"])),
+        "carrier_action_cd": maybe(st.sampled_from(["L02", "K03 ", "", "ZZ"])),
         "carrier_cd": st.sampled_from(["S1", "S2"]),
         "transact_status_cd": st.sampled_from(["D", "V", "8", "D", "X", None]),
         "last_bill_dt": maybe(st.just(dt.date(2025, 2, 3))),
@@ -176,8 +176,8 @@ denial_row = st.fixed_dictionaries(
     {
         "contract_num": mostly("478", "479"),
         "ar_seq": st.integers(1, 4),
-        "action_cd1": maybe(st.sampled_from(["ADDRX", "ZZ"])),
-        "carrier_action_cd2": maybe(st.sampled_from(["277X", "", "DUPX", "ZZ"])),
+        "action_cd1": maybe(st.sampled_from(["K01", "ZZ"])),
+        "carrier_action_cd2": maybe(st.sampled_from(["L02", "", "K03", "ZZ"])),
     }
 )
 carrier_b_row = st.tuples(st.sampled_from(["S1", "S2"]), st.sampled_from(["One", "Two"]), mostly("Y", "N"))

@@ -20,12 +20,12 @@ def test_hot_claim_with_a_third_of_all_postings(spark):
 def test_hot_claim_key_with_many_identical_denials(spark):
     claims = [dict(ar_seq=1, remit_amt=M("2.00"), icn=f"1000000001{n:02d}") for n in range(40)]
     claims += [dict(ar_seq=2, remit_amt=M("5.00"))]
-    denials = [dict(ar_seq=1)] * 5000 + [dict(ar_seq=1, carrier_action_cd2="DUPX")] * 100 + [dict(ar_seq=2)]
+    denials = [dict(ar_seq=1)] * 5000 + [dict(ar_seq=1, carrier_action_cd2="K03")] * 100 + [dict(ar_seq=2)]
     rows = denied_report(denied_tables(spark, claims, denials=denials), "ffs", LO, HI).collect()
     hot = [r for r in rows if r["ar_seq"] == 1]
     assert len(hot) == 80  # 40 claim lines x 2 distinct denial code sets
     by_cd2 = {}
     for r in hot:
         by_cd2[r["carrier_action_cd2"]] = by_cd2.get(r["carrier_action_cd2"], 0) + r["actual_amount_recovered"]
-    assert by_cd2 == {"277X": Decimal("2.00") * 5000 * 40, "DUPX": Decimal("2.00") * 100 * 40}
+    assert by_cd2 == {"L02": Decimal("2.00") * 5000 * 40, "K03": Decimal("2.00") * 100 * 40}
     assert [r["actual_amount_recovered"] for r in rows if r["ar_seq"] == 2] == [Decimal("5.00")]
