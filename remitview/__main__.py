@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from remitview.config import ReportConfig
 from remitview.plans.run import run_month
+from remitview.session import configure
 from remitview.sources.tables import load_jdbc_tables, load_tables
 
 
@@ -29,18 +30,29 @@ def main(argv=None) -> dict:
     p.add_argument("--out", required=True, help="output root (any Spark path)")
     p.add_argument("--format", choices=("csv", "text", "display"), default="csv")
     p.add_argument("--case-insensitive-codes", action="store_true")
+    p.add_argument("--time-zone", default="UTC", help="zone in which a remit time falls on a day")
+    p.add_argument(
+        "--blank-padded", action=argparse.BooleanOptionalAction, default=None,
+        help="compare all text without trailing blanks (default: for JDBC sources only)",
+    )
+    p.add_argument("--extract-names", help='JSON file of text extract names, {"open_ffs": "name.{d}.txt", ...}')
     p.add_argument("--single-file", action="store_true", help="one file per extract (one writer task each)")
     args = p.parse_args(argv)
 
     with open(args.roles) as f:
         spec = json.load(f)
-    spark = SparkSession.builder.appName("remitview-monthly").getOrCreate()
+    names = None
+    if args.extract_names:
+        with open(args.extract_names) as f:
+            names = {tuple(k.split("_", 1)): v for k, v in json.load(f).items()}
+    spark = configure(SparkSession.builder.appName("remitview-monthly").getOrCreate(), args.time_zone)
     if spec.get("format") == "jdbc":
         tables = load_jdbc_tables(spark, spec["url"], spec["roles"], spec.get("options"), spec.get("partitioning"))
     else:
         tables = load_tables(spark, spec["roles"], spec.get("format", "parquet"), spec.get("options"))
-    cfg = ReportConfig(case_sensitive_codes=not args.case_insensitive_codes)
-    return run_month(spark, tables, args.as_of, args.out, cfg, args.format, args.single_file)
+    padded = spec.get("format") == "jdbc" if args.blank_padded is None else args.blank_padded
+    cfg = ReportConfig(case_sensitive_codes=not args.case_insensitive_codes, blank_padded=padded)
+    return run_month(spark, tables, args.as_of, args.out, cfg, args.format, args.single_file, names)
 
 
 if __name__ == "__main__":

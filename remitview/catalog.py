@@ -20,15 +20,17 @@ from remitview.functions import derive as D
 from remitview.functions import period
 from remitview.functions import present as P
 from remitview.operators import crosswalk as X
-from remitview.operators.preagg import live_posting_totals
-from remitview.operators.sizing import broadcast_if_small, fits
+from remitview.operators.carriers import carrier_counts, join_carriers
+from remitview.operators.preagg import contract_denials, live_posting_totals
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
-from remitview.plans.headers import DENIED_COLUMNS, OPEN_COLUMNS
+from remitview.plans import run as R
+from remitview.plans.headers import DENIED_COLUMNS, OPEN_COLUMNS, to_headers
 from remitview.sources import standins as S
 
 CFG = ReportConfig()
 CFG_NOCASE = ReportConfig(case_sensitive_codes=False)
+CFG_PADDED = ReportConfig(blank_padded=True)
 
 # Report windows of the stand-in data: the run of 1996-09-15 reports August
 # 1996; the thin CCO program is reported over the whole of 1996.
@@ -70,6 +72,31 @@ def denied_cco(spark, sf_dir):
     return DR.denied_report(_denied(spark, sf_dir), "cco", YEAR_LO, YEAR_HI, CFG)
 
 
+def _month(spark, sf_dir, template):
+    tables = {**_open(spark, sf_dir), **_denied(spark, sf_dir)}
+    return R.BUILDERS[template](tables, MONTH_LO, MONTH_HI, CFG)
+
+
+def month_open(spark, sf_dir):
+    """K2: the monthly run's own plan, open claims of both programs in one pass."""
+    return _month(spark, sf_dir, "open")
+
+
+def month_denied(spark, sf_dir):
+    """K2: the monthly run's own plan, denied claims of both programs in one pass."""
+    return _month(spark, sf_dir, "denied")
+
+
+def report_headers(spark, sf_dir):
+    """The CCO open report under its extract headers (with their one odd spelling)."""
+    return to_headers(open_cco(spark, sf_dir), "open", "cco")
+
+
+def denied_report_headers(spark, sf_dir):
+    """The CCO denied report under its extract headers."""
+    return to_headers(denied_cco(spark, sf_dir), "denied", "cco")
+
+
 # --- run parameters, scalar functions, filters -----------------------------
 
 
@@ -187,7 +214,7 @@ def header_join(spark, sf_dir):
 def left_join_on_predicate(spark, sf_dir):
     """Live postings per claim; a claim with none keeps a null amount."""
     t = _open(spark, sf_dir)
-    totals, _ = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
+    totals = live_posting_totals(t["posting"], None, CFG)
     joined = t["claim"].select("claim_id").join(totals, "claim_id", "left")
     return joined.select(
         "claim_id",
@@ -199,86 +226,90 @@ def left_join_on_predicate(spark, sf_dir):
 def carrier_lookup(spark, sf_dir):
     """Left join to the carrier dimension with constants in ON (fan-out kept)."""
     t = _open(spark, sf_dir)
-    carriers = (
-        t["carrier_a"]
-        .where(
-            (F.col("data_source_cd") == F.lit(CFG.carrier_data_source))
-            & (F.col("carrier_office_cd") == F.lit(CFG.carrier_office))
-        )
-        .select("carrier_cd", "carrier_nm")
-    )
-    return (
-        t["claim"]
-        .select("claim_id", "carrier_cd")
-        .join(broadcast_if_small(carriers, CFG.broadcast_max_rows), "carrier_cd", "left")
-    )
+    carriers = OR.listed_carriers(t, CFG).select("carrier_cd", "carrier_nm")
+    return t["claim"].select("claim_id", "carrier_cd").join(carriers, "carrier_cd", "left")
+
+
+def padded_carrier_join(spark, sf_dir):
+    """J3 on CHAR columns: claims counted by carrier, padded on one side, the other or both."""
+    t = S.padded_carriers(_open(spark, sf_dir))
+    per_code = t["claim"].groupBy("carrier_cd").agg(_count("n_claims"))
+    named = join_carriers(per_code, OR.listed_carriers(t, CFG_PADDED), "carrier_cd", "left", CFG_PADDED)
+    return named.select("carrier_cd", "carrier_nm", (F.col("n_claims") * F.col("__times")).alias("n"))
 
 
 def recovered_zero_default(spark, sf_dir):
     """Recovered amount per claim, 0.00 without live postings."""
     t = _open(spark, sf_dir)
-    totals, _ = live_posting_totals(t["posting"], None, CFG.live_flag, CFG.broadcast_max_rows)
+    totals = live_posting_totals(t["posting"], None, CFG)
     joined = t["claim"].select("claim_id").join(totals, "claim_id", "left")
     return joined.select("claim_id", D.zero_if_null("remit_total").cast(D.MONEY_SUM).alias("amount_recovered"))
 
 
 def post_agg_status(spark, sf_dir):
     """The OPEN aggregate over all programs with the status filter *after* grouping."""
-    rows = OR.open_rows(_open(spark, sf_dir), None, YEAR_LO, YEAR_HI, CFG, status=None)
-    return OR.group_open(rows).where(F.col("status") == F.lit(CFG.open_report_status))
+    t = _open(spark, sf_dir)
+    rows = OR.open_rows(t, None, YEAR_LO, YEAR_HI, CFG, status=None)
+    return OR.group_open(rows, t, CFG).where(F.col("status") == F.lit(CFG.open_report_status))
 
 
 def left_join_collapse(spark, sf_dir):
     """A WHERE on the carrier's default flag turns the left join into an inner join."""
     t = _denied(spark, sf_dir)
-    carriers = t["carrier_b"].where(F.col("default_ind") == F.lit(CFG.carrier_default_flag))
-    joined = t["claim_b"].join(
-        broadcast_if_small(carriers.select("carrier_cd", "carrier_nm"), CFG.broadcast_max_rows), "carrier_cd", "inner"
-    )
-    return joined.groupBy("carrier_cd", "carrier_nm").agg(
-        _count(), F.sum("remit_amt").cast(D.MONEY_SUM).alias("remit_total")
+    per_code = t["claim_b"].groupBy("carrier_cd").agg(_count("n_claims"), F.sum("remit_amt").alias("remit"))
+    named = join_carriers(per_code, DR.default_carriers(t, CFG), "carrier_cd", "inner", CFG)
+    return named.select(
+        "carrier_cd",
+        "carrier_nm",
+        (F.col("n_claims") * F.col("__times")).alias("n"),
+        (F.col("remit") * F.col("__times")).cast(D.MONEY_SUM).alias("remit_total"),
     )
 
 
+def _denials_per_claim(t):
+    """Denial rows of the contract, counted per claim key (map-side combine)."""
+    return contract_denials(t["denial"], None, CFG).groupBy("ar_seq").agg(_count("n_denials"))
+
+
 def right_join_collapse(spark, sf_dir):
     """Claim RIGHT JOIN denial with WHERE on claim columns = inner join; k denials -> k rows."""
     t = _denied(spark, sf_dir)
-    claims = t["claim_b"].where(F.col("contract_num") == F.lit(CFG.contract_num)).select(
-        "contract_num", "ar_seq", "remit_amt"
-    )
-    # Denial rows counted per claim key before the join (map-side combine).
-    per_key = (
-        t["denial"]
-        .where(F.col("contract_num") == F.lit(CFG.contract_num))
-        .groupBy("contract_num", "ar_seq")
-        .agg(F.count(F.lit(1)).cast("int").alias("n_denials"))
-    )
-    joined = claims.join(per_key, ["contract_num", "ar_seq"], "inner")
-    return joined.groupBy("ar_seq").agg(
-        F.sum("n_denials").alias("n"),
-        F.sum(F.col("remit_amt") * F.col("n_denials")).cast(D.MONEY_SUM).alias("remit_total"),
+    claims = t["claim_b"].where(F.col("contract_num") == F.lit(CFG.contract_num))
+    per_claim = claims.groupBy("ar_seq").agg(_count("n_claims"), F.sum("remit_amt").alias("remit"))
+    joined = per_claim.join(_denials_per_claim(t), "ar_seq", "inner")
+    return joined.select(
+        "ar_seq",
+        (F.col("n_claims") * F.col("n_denials")).alias("n"),
+        (F.col("remit") * F.col("n_denials")).cast(D.MONEY_SUM).alias("remit_total"),
     )
 
 
 def recovered_fanout_sum(spark, sf_dir):
     """A2: denied amounts with join fan-out, no null default, over all programs."""
-    rows = DR.denied_rows(_denied(spark, sf_dir), None, YEAR_LO, YEAR_HI, CFG)
-    return rows.groupBy("ar_seq", "icn", "icn_detail_line").agg(
-        F.sum("remit_amt").cast(D.MONEY_SUM).alias("actual_amount_recovered")
+    t = _denied(spark, sf_dir)
+    claims = DR.denied_claims(t, None, YEAR_LO, YEAR_HI, CFG).select("ar_seq", "icn", "carrier_cd", "remit_amt")
+    times = carrier_counts(DR.default_carriers(t, CFG), CFG)
+    fanned = claims.join(times, F.col("carrier_cd") == F.col("__carrier"), "inner")
+    per_line = fanned.groupBy("ar_seq", D.icn_stem("icn").alias("icn"), D.icn_line("icn").alias("icn_detail_line")).agg(
+        F.sum(F.col("remit_amt") * F.col("__times")).alias("remit")
+    )
+    joined = per_line.join(_denials_per_claim(t), "ar_seq", "inner")
+    return joined.select(
+        "ar_seq", "icn", "icn_detail_line",
+        (F.col("remit") * F.col("n_denials")).cast(D.MONEY_SUM).alias("actual_amount_recovered"),
     )
 
 
 def group_by_ordinal(spark, sf_dir):
     """A2 (SQL form): GROUP BY column ordinals."""
-    view = "remitview_claim_b"
-    _denied(spark, sf_dir)["claim_b"].createOrReplaceTempView(view)
     return spark.sql(
-        f"""
+        """
         SELECT carrier_cd, transact_status_cd, substring(icn, 1, 2) AS icn_prefix,
                CAST(SUM(remit_amt) AS DECIMAL(38,2)) AS remit_total, COUNT(*) AS n
-        FROM {view}
+        FROM {claim_b}
         GROUP BY 1, 2, 3
-        """
+        """,
+        claim_b=_denied(spark, sf_dir)["claim_b"],
     )
 
 
@@ -296,13 +327,9 @@ def distinct_after_group(spark, sf_dir):
 
 def _action_lookup(spark, sf_dir, cfg):
     t = _denied(spark, sf_dir)
-    small = fits(t["action_xwalk"], cfg.broadcast_max_rows)  # raw input bounds the resolved table
-    resolved = X.resolve(t["action_xwalk"], cfg.case_sensitive_codes, small=small)
-    described = X.lookup(
-        t["claim_b"].select("action_cd"), "action_cd", resolved, "action_description", None, cfg.case_sensitive_codes,
-        small=small,
-    )
-    return described.groupBy("action_cd", "action_description").agg(_count())
+    cs = cfg.case_sensitive_codes
+    counted = t["claim_b"].groupBy("action_cd").agg(_count())
+    return X.lookup(counted, "action_cd", X.resolve(t["action_xwalk"], cs), "action_description", None, cs)
 
 
 def action_description(spark, sf_dir):
@@ -318,36 +345,30 @@ def action_description_nocase(spark, sf_dir):
 def carrier_description(spark, sf_dir):
     """Carrier crosswalks (ELSE 'NOCOD', also for null codes) on claim and denial codes."""
     t = _denied(spark, sf_dir)
-    mr = CFG.broadcast_max_rows
-    small1, small2 = fits(t["carrier_xwalk1"], mr), fits(t["carrier_xwalk2"], mr)
-    r1 = X.resolve(t["carrier_xwalk1"], small=small1)
-    r2 = X.resolve(t["carrier_xwalk2"], small=small2)
-    claim_side = X.lookup(
-        t["claim_b"].select(F.col("carrier_action_cd").alias("code")), "code", r1, "description", CFG.carrier_desc_default,
-        small=small1,
-    ).withColumn("side", F.lit("claim"))
-    denial_side = X.lookup(
-        t["denial"].select(F.col("carrier_action_cd2").alias("code")), "code", r2, "description", CFG.carrier_desc_default,
-        small=small2,
-    ).withColumn("side", F.lit("denial"))
-    return claim_side.unionByName(denial_side).groupBy("side", "code", "description").agg(_count())
+
+    def described(codes, xwalk, side):
+        counted = codes.groupBy("code").agg(_count())
+        texts = X.lookup(counted, "code", X.resolve(xwalk), "description", CFG.carrier_desc_default)
+        return texts.withColumn("side", F.lit(side))
+
+    claim_codes = t["claim_b"].select(F.col("carrier_action_cd").alias("code"))
+    denial_codes = t["denial"].select(F.col("carrier_action_cd2").alias("code"))
+    return described(claim_codes, t["carrier_xwalk1"], "claim").unionByName(
+        described(denial_codes, t["carrier_xwalk2"], "denial")
+    )
 
 
 def denial_type(spark, sf_dir):
     """ACTIONABLE / FINAL / null from two ordered code sets."""
     t = _denied(spark, sf_dir)
-    small = fits(t["denial_code_set"], CFG.broadcast_max_rows)
-    resolved = X.resolve(X.code_sets_as_crosswalk(t["denial_code_set"], ("ACTIONABLE", "FINAL")), small=small)
-    typed = X.lookup(t["claim_b"].select("action_cd"), "action_cd", resolved, "denial_type", small=small)
-    return typed.groupBy("action_cd", "denial_type").agg(_count())
+    resolved = X.resolve(X.code_sets_as_crosswalk(t["denial_code_set"], ("ACTIONABLE", "FINAL")))
+    return X.lookup(t["claim_b"].groupBy("action_cd").agg(_count()), "action_cd", resolved, "denial_type")
 
 
 def action_exclusion(spark, sf_dir):
     """NOT IN a literal list (nulls rejected, comma literal not split)."""
     t = _denied(spark, sf_dir)
-    small = fits(t["action_exclusion"], CFG.broadcast_max_rows)
-    kept = X.exclude_codes(t["claim_b"].select("action_cd"), "action_cd", t["action_exclusion"], small=small)
-    return kept.groupBy("action_cd").agg(_count())
+    return X.exclude_codes(t["claim_b"].groupBy("action_cd").agg(_count()), "action_cd", t["action_exclusion"])
 
 
 # --- presentation ----------------------------------------------------------
@@ -385,6 +406,10 @@ QUERIES: dict[str, Query] = {
     "open_cco": open_cco,
     "denied_ffs": denied_ffs,
     "denied_cco": denied_cco,
+    "month_open": month_open,
+    "month_denied": month_denied,
+    "report_headers": report_headers,
+    "denied_report_headers": denied_report_headers,
     "prev_month_window": prev_month_window,
     "program_split": program_split,
     "claim_number_split": claim_number_split,
@@ -393,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "header_join": header_join,
     "left_join_on_predicate": left_join_on_predicate,
     "carrier_lookup": carrier_lookup,
+    "padded_carrier_join": padded_carrier_join,
     "recovered_zero_default": recovered_zero_default,
     "post_agg_status": post_agg_status,
     "rebill_fallback": rebill_fallback,

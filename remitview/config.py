@@ -65,9 +65,9 @@ class ReportConfig:
     # Crosswalk matching: the source databases compare text blank-padded
     # (trailing blanks ignored); case sensitivity is a property of the source.
     case_sensitive_codes: bool = True
-    # Row bound under which a dimension / key set is broadcast; above it the
-    # join stays a shuffle join and AQE decides at run time.
-    broadcast_max_rows: int = 1_000_000
+    # Compare all other text (carrier and contract keys, flags, statuses)
+    # blank-padded too; needed where CHAR columns arrive with their padding.
+    blank_padded: bool = False
     extra: dict = field(default_factory=dict)
 
     def program_prefixes(self, program: str) -> tuple[tuple[str, ...], bool]:

@@ -6,6 +6,9 @@ whole-stage codegen; none needs a Python UDF.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,29 +78,46 @@ def rebill_or_bill(rebill, bill) -> Column:
     return F.coalesce(col_(rebill), col_(bill))
 
 
+def text_key(c, cfg: ReportConfig) -> Column:
+    """Text as it compares: without trailing blanks where the source compares blank-padded."""
+    return F.rtrim(col_(c)) if cfg.blank_padded else col_(c)
+
+
+def one_of(c, values, cfg: ReportConfig) -> Column:
+    """``c IN (values)`` under the comparison of ``cfg``.
+
+    The blank-padded form keeps a prefix test beside the trimmed one: the scan
+    can use it, as it can't use a condition on a trimmed column.
+    """
+    c = col_(c)
+    if not cfg.blank_padded:
+        return c.isin(*values) if len(values) != 1 else c == F.lit(values[0])
+    prefix = reduce(or_, [c.startswith(v) for v in values])
+    return prefix & F.rtrim(c).isin(*values)
+
+
 def open_status(code, cfg: ReportConfig) -> Column:
     """Pass-through statuses, the paid family -> one label, anything else null."""
-    c = col_(code)
+    key = text_key(code, cfg)
     return (
-        F.when(c.isin(*cfg.open_pass_statuses), c)
-        .when(c.isin(*cfg.open_paid_statuses), F.lit(cfg.open_paid_label))
+        F.when(key.isin(*cfg.open_pass_statuses), key)
+        .when(key.isin(*cfg.open_paid_statuses), F.lit(cfg.open_paid_label))
     )
 
 
 def source_code(elig_code, cfg: ReportConfig) -> Column:
     """Resource code -> RSC, everything else (null included) -> TPL."""
-    return F.when(col_(elig_code) == F.lit(cfg.resource_elig_code), F.lit(cfg.resource_label)).otherwise(
+    return F.when(text_key(elig_code, cfg) == F.lit(cfg.resource_elig_code), F.lit(cfg.resource_label)).otherwise(
         F.lit(cfg.tpl_label)
     )
 
 
 def denied_status(code, cfg: ReportConfig) -> Column:
-    c = col_(code)
-    expr = None
-    for raw, label in cfg.denied_status_labels:
-        cond = c == F.lit(raw)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(cfg.denied_status_other))
+    key = text_key(code, cfg)
+    label = F.lit(cfg.denied_status_other)
+    for raw, text in reversed(cfg.denied_status_labels):
+        label = F.when(key == F.lit(raw), F.lit(text)).otherwise(label)
+    return label
 
 
 def date_text(d) -> Column:

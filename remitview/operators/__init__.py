@@ -1 +1 @@
-"""Reusable relational operators: size-checked broadcast, crosswalks, pre-aggregation."""
+"""Reusable relational operators: crosswalks, carriers, pre-aggregation."""

@@ -10,19 +10,18 @@ significant), optionally case-insensitive.  The same key is applied to the
 claim column and the table, so padded, shadowed and case-pair entries behave
 as the ordered CASE does: the lowest priority wins per key.
 
-The resolved table is bounded by the crosswalk, not by the claims, and is
-broadcast only after ``fits`` has checked its row count.
+The resolved table is bounded by the crosswalk, not by the claims. Spark
+broadcasts it where its statistics, or its measured size at run time, allow.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitview.functions.derive import col_
-from remitview.operators.sizing import broadcast_if_small
-
-DEFAULT_MAX_ROWS = 1_000_000
 
 
 def code_key(c, case_sensitive: bool = True) -> Column:
@@ -31,26 +30,33 @@ def code_key(c, case_sensitive: bool = True) -> Column:
     return k if case_sensitive else F.lower(k)
 
 
-def resolve(
-    dim: DataFrame,
-    case_sensitive: bool = True,
-    code: str = "code",
-    priority: str = "priority",
-    value: str = "description",
-    small: bool = False,
-) -> DataFrame:
-    """One row per match key: ``(xw_key, xw_value)`` of the first branch.
+def resolve_together(sources: dict[str, DataFrame], case_sensitive: bool = True) -> DataFrame:
+    """``xw_key`` and a column per crosswalk: the struct ``(p, v)`` of its first branch for the
+    key, null where it has none.
 
+    Crosswalks on the same claim column resolve to one table and so to one join.
     Ties on priority are broken by the value, so the result is deterministic.
-    ``small`` (the crosswalk passed the broadcast size check): aggregate in a
-    single partition, which needs no exchange; otherwise the aggregation is
-    distributed like any other.
     """
-    first = F.min(F.struct(F.col(priority).alias("p"), F.col(value).alias("v")))
-    rows = dim.where(F.col(code).isNotNull())
-    if small:
-        rows = rows.coalesce(1)
-    return rows.groupBy(code_key(code, case_sensitive).alias("xw_key")).agg(first.getField("v").alias("xw_value"))
+    tagged = [
+        dim.where(F.col("code").isNotNull()).select(
+            code_key("code", case_sensitive).alias("xw_key"),
+            F.lit(name).alias("xw"),
+            F.struct(F.col("priority").cast("bigint").alias("p"), F.col("description").alias("v")).alias("branch"),
+        )
+        for name, dim in sources.items()
+    ]
+    first = [F.min(F.when(F.col("xw") == F.lit(n), F.col("branch"))).alias(n) for n in sources]
+    return reduce(DataFrame.unionByName, tagged).groupBy("xw_key").agg(*first)
+
+
+def resolve(dim: DataFrame, case_sensitive: bool = True) -> DataFrame:
+    """One row per match key: ``(xw_key, xw_value)`` of the first branch."""
+    return resolve_together({"first": dim}, case_sensitive).select("xw_key", F.col("first.v").alias("xw_value"))
+
+
+def code_list_as_crosswalk(codes: DataFrame) -> DataFrame:
+    """``(code)`` -> ``(code, priority, description)``: membership as a crosswalk."""
+    return codes.select("code", F.lit(0).alias("priority"), F.lit("").alias("description"))
 
 
 def code_sets_as_crosswalk(code_set: DataFrame, order: tuple[str, ...]) -> DataFrame:
@@ -75,20 +81,15 @@ def lookup(
     out_col: str,
     default: str | None = None,
     case_sensitive: bool = True,
-    max_rows: int = DEFAULT_MAX_ROWS,
-    small: bool | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = crosswalk value of ``df[code_col]``.
 
     Unmatched and null codes get ``default`` (the CASE's ELSE).  A matched
-    branch whose text is null stays null.  ``small``: a size decision already
-    taken on the crosswalk input (it bounds the resolved table).
+    branch whose text is null stays null.
     """
     key = f"__{out_col}_key"
     val = f"__{out_col}_val"
-    side = broadcast_if_small(
-        resolved.select(F.col("xw_key").alias(key), F.col("xw_value").alias(val)), max_rows, small
-    )
+    side = resolved.select(F.col("xw_key").alias(key), F.col("xw_value").alias(val))
     joined = df.join(side, code_key(F.col(code_col), case_sensitive) == F.col(key), "left")
     value = F.col(val)
     if default is not None:
@@ -101,9 +102,6 @@ def exclude_codes(
     code_col: str,
     codes: DataFrame,
     case_sensitive: bool = True,
-    code: str = "code",
-    max_rows: int = DEFAULT_MAX_ROWS,
-    small: bool | None = None,
 ) -> DataFrame:
     """``code_col NOT IN (list)``: listed codes and null codes are dropped.
 
@@ -111,7 +109,6 @@ def exclude_codes(
     A null entry in the list is not a code and is ignored.
     """
     # No de-duplication needed: an anti join gives the same rows for repeated keys.
-    keys = codes.where(F.col(code).isNotNull()).select(code_key(code, case_sensitive).alias("__ex_key"))
-    side = broadcast_if_small(keys, max_rows, small)
+    keys = codes.where(F.col("code").isNotNull()).select(code_key("code", case_sensitive).alias("__ex_key"))
     kept = df.where(F.col(code_col).isNotNull())
-    return kept.join(side, code_key(F.col(code_col), case_sensitive) == F.col("__ex_key"), "left_anti")
+    return kept.join(keys, code_key(F.col(code_col), case_sensitive) == F.col("__ex_key"), "left_anti")

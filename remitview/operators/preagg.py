@@ -9,10 +9,13 @@ per join key *before* the join without changing any report value:
   ``remit * k``; distinct denial rows stay distinct because their codes are
   report columns.
 
-The pre-aggregation has a map-side partial step, so a claim (or claim key)
-holding a large share of all postings or denials is combined inside each map
-task before the shuffle: no single reducer receives the hot key's raw rows,
-and the join never emits all claim x posting pairs.
+With the report's claims given, the histories are first reduced to them by a
+semi-join; Spark chooses broadcast or shuffle by the measured size. The
+semi-join has one key more than the aggregation above it (the live flag, the
+contract), so the aggregation brings its own exchange below a partial step:
+AQE may split a hot key of the semi-join, and a claim (or claim key) with a
+large share of all postings or denials reaches the final step as one row per
+task.
 """
 
 from __future__ import annotations
@@ -20,58 +23,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitview.operators.sizing import fits
+from remitview.config import ReportConfig
+from remitview.functions import derive as D
 
-DENIAL_KEYS = ("contract_num", "ar_seq")
 DENIAL_CODES = ("action_cd1", "carrier_action_cd1", "carrier_action_cd2")
 
 
-def live_posting_totals(
-    posting: DataFrame,
-    claim_ids: DataFrame | None,
-    live_flag: str,
-    max_rows: int,
-    ids_small: bool | None = None,
-) -> tuple[DataFrame, bool]:
-    """``(claim_id, remit_total, n_postings)`` over live postings, and whether it is bounded.
-
-    When the report's claim ids are provably few (``fits``) the postings are
-    first semi-joined against them with a broadcast, so only the report's
-    postings reach the aggregation, and the totals (at most one row per such
-    claim) are bounded by the same check -- the caller may broadcast them.
-    Otherwise the whole posting table is pre-aggregated (partial aggregation
-    keeps that skew-proof) and Spark's runtime filter may still prune the scan
-    from the join side.
-    """
-    live = posting.where(F.col("delete_ind") == F.lit(live_flag)).select("claim_id", "remit_amt")
-    bounded = False
-    if claim_ids is not None:
-        ids = claim_ids.select("claim_id")
-        if ids_small is None:
-            ids_small = fits(ids, max_rows)
-        if ids_small:
-            live = live.join(F.broadcast(ids), "claim_id", "left_semi")
-            bounded = True
-    totals = live.groupBy("claim_id").agg(
+def live_posting_totals(posting: DataFrame, claims: DataFrame | None, cfg: ReportConfig) -> DataFrame:
+    """``(claim_id, remit_total, n_postings)`` over live postings, of ``claims`` only if given."""
+    flag = D.text_key("delete_ind", cfg).alias("__flag")
+    live = posting.where(D.one_of("delete_ind", (cfg.live_flag,), cfg)).select("claim_id", flag, "remit_amt")
+    if claims is not None:
+        live = live.join(claims.select("claim_id", flag), ["claim_id", "__flag"], "left_semi")
+    return live.groupBy("claim_id").agg(
         F.sum("remit_amt").alias("remit_total"),
         F.count(F.lit(1)).alias("n_postings"),
     )
-    return totals, bounded
 
 
-def denial_multiplicity(
-    denial: DataFrame,
-    contract_num: str,
-    claim_keys: DataFrame | None = None,
-    keys_small: bool = False,
-) -> DataFrame:
-    """``(contract_num, ar_seq, codes..., n_denials)``: identical denial rows counted once.
+def contract_denials(denial: DataFrame, claims: DataFrame | None, cfg: ReportConfig) -> DataFrame:
+    """``(ar_seq, __contract, codes...)`` of the contract's denials, of ``claims`` only if given."""
+    contract = D.text_key("contract_num", cfg).alias("__contract")
+    rows = denial.where(D.one_of("contract_num", (cfg.contract_num,), cfg)).select("ar_seq", contract, *DENIAL_CODES)
+    if claims is not None:
+        rows = rows.join(claims.select("ar_seq", contract), ["ar_seq", "__contract"], "left_semi")
+    return rows
+
 
-    With ``claim_keys`` known to be small (``keys_small``), only the denials
-    of those claims are read past a broadcast semi-join, so a one-month report
-    does not aggregate the whole denial history.
+def denial_multiplicity(denial: DataFrame, claims: DataFrame | None, cfg: ReportConfig) -> DataFrame:
+    """``(ar_seq, codes..., __contract, n_denials)``: identical denial rows counted once.
+
+    All rows are of one contract, so it is no group key; it stays as the claim
+    join's second key.
     """
-    rows = denial.where(F.col("contract_num") == F.lit(contract_num))
-    if claim_keys is not None and keys_small:
-        rows = rows.join(F.broadcast(claim_keys.select(*DENIAL_KEYS)), list(DENIAL_KEYS), "left_semi")
-    return rows.groupBy(*DENIAL_KEYS, *DENIAL_CODES).agg(F.count(F.lit(1)).cast("int").alias("n_denials"))
+    return contract_denials(denial, claims, cfg).groupBy("ar_seq", *DENIAL_CODES).agg(
+        F.max("__contract").alias("__contract"), F.count(F.lit(1)).alias("n_denials")
+    )

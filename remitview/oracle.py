@@ -254,12 +254,32 @@ def _action_sql(case_sensitive: bool) -> str:
     )
 
 
+def _both_programs(template) -> str:
+    parts = [f"SELECT '{p}' AS program, * FROM ({template(p, _M_LO, _M_HI)}) {p}_rows" for p in ("ffs", "cco")]
+    return " UNION ALL ".join(parts)
+
+
+def _headed(sql: str, template: str) -> str:
+    from remitview.plans.headers import headers_for
+
+    return "SELECT " + ", ".join(f'{c} AS "{h}"' for c, h in headers_for(template, "cco")) + f" FROM ({sql}) report"
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "open_ffs": open_sql("ffs", _M_LO, _M_HI),
         "open_cco": open_sql("cco", _Y_LO, _Y_HI),
         "denied_ffs": denied_sql("ffs", _M_LO, _M_HI),
         "denied_cco": denied_sql("cco", _Y_LO, _Y_HI),
+        "month_open": _both_programs(open_sql),
+        "month_denied": _both_programs(denied_sql),
+        "report_headers": _headed(open_sql("cco", _Y_LO, _Y_HI), "open"),
+        "denied_report_headers": _headed(denied_sql("cco", _Y_LO, _Y_HI), "denied"),
+        "padded_carrier_join": with_roles("claim", "carrier_a")
+        + "SELECT c.carrier_cd, a.carrier_nm, COUNT(*) AS n FROM"
+        " (SELECT if(claim_id % 2 = 1, carrier_cd || '   ', carrier_cd) AS carrier_cd FROM claim) c"
+        " LEFT JOIN carrier_a a ON a.carrier_cd = rtrim(c.carrier_cd) AND a.data_source_cd = 'GCS'"
+        " AND a.carrier_office_cd = '0000' GROUP BY 1, 2",
         "prev_month_window": _claim(
             "SELECT claim_id,"
             " CAST(date_trunc('month', bill_dt - INTERVAL 1 MONTH) AS DATE) AS first_day,"

@@ -15,17 +15,27 @@ Semantics (as the original query computes them):
 Plan:
 
     claim_b --filter (contract, program, cast(remit_dt as date) in window,
-    |                 status in D/8/V)  --anti-- exclusion list   (broadcast)
-    |--inner-- carrier_b where default flag                        (broadcast if small)
-    |--left--- action / carrier-1 / denial-type crosswalks         (broadcast)
-    |--inner-- denial multiplicity  on (contract_num, ar_seq)      (shuffle, AQE)
-    |            `-- denial [semi-join window keys if few]         (broadcast)
-    |            `-- denial grouped by key + codes, counted (map-side combine)
-    |            `-- left carrier-2 crosswalk                      (broadcast)
-    group by the 27 report columns -> SUM(remit * n_denials)
+    |                 status in D/8/V)
+    |--left--- action codes   on action_cd: description, denial type and
+    |                         exclusion resolved to one table; excluded and
+    |                         null codes leave
+    |--left--- carrier-1 crosswalk
+    |--inner-- denial multiplicity  on (contract, ar_seq)
+    |            `-- denial semi-joined with the claims, then grouped by
+    |                key + codes and counted (map-side combine)
+    |            `-- left carrier-2 crosswalk
+    group by the report columns but the carrier name -> SUM(remit * n_denials)
+    |--inner-- carrier_b where default flag (equal rows counted)  on carrier_cd
 
 Counting identical denial rows before the join keeps a claim key with very
 many denial rows from emitting one row per raw pair.
+
+The claim join keeps the contract as a second key, which the aggregation does
+not group by, so the aggregation has an exchange of its own. That exchange is
+the price for hot claim keys: with it AQE may split a hot ``ar_seq`` in the
+join, and identical lines combine before the shuffle. Without it one task
+would join and sum all lines of the hot key. No broadcast is forced: Spark
+decides by statistics and measured sizes.
 """
 
 from __future__ import annotations
@@ -38,77 +48,51 @@ from pyspark.sql import functions as F
 from remitview.config import DENIAL_TYPE_ORDER, ReportConfig
 from remitview.functions import derive as D
 from remitview.operators import crosswalk as X
+from remitview.operators.carriers import join_carriers
 from remitview.operators.preagg import denial_multiplicity
-from remitview.operators.sizing import fits_many, maybe_broadcast
 from remitview.plans.headers import DENIED_COLUMNS
+from remitview.sources.tables import DENIED_ROLES
 
 DENIED_GROUP_KEYS = tuple(c for c in DENIED_COLUMNS if c != "actual_amount_recovered")
 
 
 def denied_claim_filter(cfg: ReportConfig, program: str | None, lo, hi):
-    c = F.col
+    """The claim-level WHERE of the DENIED template."""
     # Most selective first: generated code short-circuits AND left to right.
     cond = (
         D.as_date_col("remit_dt").between(F.lit(lo), F.lit(hi))
-        & c("transact_status_cd").isin(*cfg.denied_status_filter)
-        & (c("contract_num") == F.lit(cfg.contract_num))
+        & D.one_of("transact_status_cd", cfg.denied_status_filter, cfg)
+        & D.one_of("contract_num", (cfg.contract_num,), cfg)
     )
     if program is not None:
         cond = cond & D.program_predicate("icn", program, cfg)
     return cond
 
 
-def crosswalks(
-    tables: dict[str, DataFrame], cfg: ReportConfig, small: dict[str, bool] | None = None
-) -> dict[str, DataFrame]:
-    """Resolve the four crosswalk inputs once (one row per match key each)."""
-    cs = cfg.case_sensitive_codes
-    small = small or {}
-    return {
-        "action": X.resolve(tables["action_xwalk"], cs, small=small.get("action", False)),
-        "carrier1": X.resolve(tables["carrier_xwalk1"], cs, small=small.get("carrier1", False)),
-        "carrier2": X.resolve(tables["carrier_xwalk2"], cs, small=small.get("carrier2", False)),
-        "denial_type": X.resolve(
-            X.code_sets_as_crosswalk(tables["denial_code_set"], DENIAL_TYPE_ORDER), cs,
-            small=small.get("denial_type", False),
-        ),
-    }
-
-
-def default_carriers(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFrame:
-    return (
-        tables["carrier_b"]
-        .where(F.col("default_ind") == F.lit(cfg.carrier_default_flag))
-        .select("carrier_cd", "carrier_nm")
+def action_codes(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFrame:
+    """All that the report asks of an action code, one row per match key."""
+    return X.resolve_together(
+        {
+            "action": tables["action_xwalk"],
+            "type": X.code_sets_as_crosswalk(tables["denial_code_set"], DENIAL_TYPE_ORDER),
+            "excluded": X.code_list_as_crosswalk(tables["action_exclusion"]),
+        },
+        cfg.case_sensitive_codes,
+    ).select(
+        F.col("xw_key").alias("__action_key"),
+        F.col("action.v").alias("action_description"),
+        F.col("type.v").alias("denial_type"),
+        F.col("excluded").isNotNull().alias("__excluded"),
     )
 
 
-def size_decisions(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, bool]:
-    """Broadcast decisions for every dimension of the template, checked concurrently.
-
-    Crosswalks are checked on their raw input: resolving keeps at most one
-    row per input row, so the input's bound is the resolved table's bound.
-    The decisions do not depend on program or window, so a run computes them
-    once for all its DENIED reports.
-    """
-    return fits_many(_dimension_frames(tables, cfg), cfg.broadcast_max_rows)
-
-
-def _dimension_frames(tables: dict[str, DataFrame], cfg: ReportConfig) -> dict[str, DataFrame]:
-    return {
-        "action": tables["action_xwalk"],
-        "carrier1": tables["carrier_xwalk1"],
-        "carrier2": tables["carrier_xwalk2"],
-        "denial_type": tables["denial_code_set"],
-        "exclusion": tables["action_exclusion"],
-        "carriers": default_carriers(tables, cfg),
-    }
+def default_carriers(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFrame:
+    return tables["carrier_b"].where(D.one_of("default_ind", (cfg.carrier_default_flag,), cfg))
 
 
-def _claim_side(
-    tables: dict[str, DataFrame], program: str | None, lo: dt.date, hi: dt.date, cfg: ReportConfig
-) -> DataFrame:
-    return tables["claim_b"].where(denied_claim_filter(cfg, program, lo, hi))
+def month_claims(claim_b: DataFrame, program: str | None, lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
+    """The template's claims before the exclusion list, with the role's columns."""
+    return claim_b.where(denied_claim_filter(cfg, program, lo, hi)).select(*DENIED_ROLES["claim_b"])
 
 
 def denied_claims(
@@ -117,20 +101,12 @@ def denied_claims(
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
-    small: dict[str, bool] | None = None,
 ) -> DataFrame:
-    """Claim side after filters, exclusion and the default-carrier inner join."""
-    small = small if small is not None else size_decisions(tables, cfg)
-    claims = X.exclude_codes(
-        _claim_side(tables, program, lo, hi, cfg),
-        "action_cd",
-        tables["action_exclusion"],
-        cfg.case_sensitive_codes,
-        max_rows=cfg.broadcast_max_rows,
-        small=small["exclusion"],
-    )
-    carriers = maybe_broadcast(default_carriers(tables, cfg), small["carriers"])
-    return claims.join(carriers, "carrier_cd", "inner")
+    """Claims after filters and exclusion list, with ``action_description`` and ``denial_type``."""
+    claims = month_claims(tables["claim_b"], program, lo, hi, cfg).where(F.col("action_cd").isNotNull())
+    key = X.code_key("action_cd", cfg.case_sensitive_codes)
+    coded = claims.join(action_codes(tables, cfg), key == F.col("__action_key"), "left")
+    return coded.where(~F.coalesce("__excluded", F.lit(False))).drop("__action_key", "__excluded")
 
 
 def denied_rows(
@@ -139,26 +115,17 @@ def denied_rows(
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
-    small: dict[str, bool] | None = None,
 ) -> DataFrame:
-    """Joined rows with all 28 report columns; the amount already multiplied by fan-out."""
-    # Window-dependent check (the report's claim keys) together with the
-    # window-independent dimension checks, all as concurrent jobs.
-    keys = _claim_side(tables, program, lo, hi, cfg).select("contract_num", "ar_seq")
-    frames = {"claim_keys": keys, **(_dimension_frames(tables, cfg) if small is None else {})}
-    small = {**(small or {}), **fits_many(frames, cfg.broadcast_max_rows)}
-    xw = crosswalks(tables, cfg, small)
-    cs, mr = cfg.case_sensitive_codes, cfg.broadcast_max_rows
-
-    claims = denied_claims(tables, program, lo, hi, cfg, small)
-    claims = X.lookup(claims, "action_cd", xw["action"], "action_description", None, cs, mr, small["action"])
+    """Joined rows with all report columns but the carrier name; the amount is multiplied by the
+    number of identical denial rows."""
+    cs = cfg.case_sensitive_codes
+    contract = D.text_key("contract_num", cfg).alias("__contract")
     claims = X.lookup(
-        claims, "carrier_action_cd", xw["carrier1"], "carrier_description1", cfg.carrier_desc_default, cs, mr,
-        small["carrier1"],
+        denied_claims(tables, program, lo, hi, cfg), "carrier_action_cd", X.resolve(tables["carrier_xwalk1"], cs),
+        "carrier_description1", cfg.carrier_desc_default, cs,
     )
-    claims = X.lookup(claims, "action_cd", xw["denial_type"], "denial_type", None, cs, mr, small["denial_type"])
     claims = claims.select(
-        "contract_num",
+        contract,
         "ar_seq",
         "last_name",
         "first_name",
@@ -176,7 +143,6 @@ def denied_rows(
         "carrier_description1",
         "denial_type",
         F.col("carrier_cd").alias("carrier_code"),
-        F.col("carrier_nm").alias("carrier_name"),
         F.col("carrier_claim_ref").alias("carrier_denial_claim_number"),
         F.col("carrier_ack_ts").alias("carrier_action_date"),
         D.date_text("bill_dt").alias("original_bill_date"),
@@ -185,13 +151,13 @@ def denied_rows(
         D.source_code("source_elig_cd", cfg).alias("source_code"),
     )
 
-    denials = denial_multiplicity(tables["denial"], cfg.contract_num, keys, small["claim_keys"])
+    month = month_claims(tables["claim_b"], program, lo, hi, cfg)
     denials = X.lookup(
-        denials, "carrier_action_cd2", xw["carrier2"], "carrier_description2", cfg.carrier_desc_default, cs, mr,
-        small["carrier2"],
+        denial_multiplicity(tables["denial"], month, cfg), "carrier_action_cd2",
+        X.resolve(tables["carrier_xwalk2"], cs), "carrier_description2", cfg.carrier_desc_default, cs,
     )
     denials = denials.select(
-        "contract_num",
+        "__contract",
         "ar_seq",
         F.col("action_cd1").alias("denial_action_cd"),
         "carrier_action_cd1",
@@ -200,16 +166,22 @@ def denied_rows(
         "n_denials",
     )
 
-    joined = claims.join(denials, ["contract_num", "ar_seq"], "inner")
-    return joined.withColumn("remit_amt", F.col("remit_amt") * F.col("n_denials")).drop("n_denials", "contract_num")
+    joined = claims.join(denials, ["__contract", "ar_seq"], "inner")
+    return joined.withColumn("remit_amt", F.col("remit_amt") * F.col("n_denials")).drop("n_denials", "__contract")
 
 
-def group_denied(rows: DataFrame) -> DataFrame:
-    """SUM of the recovered amount over the 27 other columns (all-null stays null)."""
+def group_denied(
+    rows: DataFrame, tables: dict[str, DataFrame], cfg: ReportConfig = ReportConfig(), by: tuple[str, ...] = ()
+) -> DataFrame:
+    """SUM of the recovered amount over the 27 other columns (all-null stays null) and ``by``."""
+    sums = rows.groupBy(*by, *(k for k in DENIED_GROUP_KEYS if k != "carrier_name")).agg(
+        F.sum("remit_amt").alias("__total")
+    )
+    named = join_carriers(sums, default_carriers(tables, cfg), "carrier_code", "inner", cfg)
     return (
-        rows.groupBy(*DENIED_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("actual_amount_recovered"))
-        .select(*DENIED_COLUMNS)
+        named.withColumnRenamed("carrier_nm", "carrier_name")
+        .withColumn("actual_amount_recovered", (F.col("__total") * F.col("__times")).cast(D.MONEY_SUM))
+        .select(*by, *DENIED_COLUMNS)
     )
 
 
@@ -219,7 +191,6 @@ def denied_report(
     lo: dt.date,
     hi: dt.date,
     cfg: ReportConfig = ReportConfig(),
-    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """The DENIED report for one program and one remit-date window."""
-    return group_denied(denied_rows(tables, program, lo, hi, cfg, small))
+    return group_denied(denied_rows(tables, program, lo, hi, cfg), tables, cfg)

@@ -4,11 +4,10 @@ Logical plan (the reference computes the same rows with one nested SQL query):
 
     claim  --filter (record flags, contract, project, program, bill type,
     |              window, never rebilled, carrier, report status)
-    |--inner-- claim_header            on header_id      (shuffle / AQE; semi-reduced
-    |                                                      to the month's headers)
-    |--left--- live posting totals     on claim_id       (pre-aggregated)
-    |--left--- carrier_a (filtered)    on carrier_cd     (broadcast if small)
-    derive -> group by the 18 report columns -> SUM(recovered)
+    |--inner-- claim_header            on header_id
+    |--left--- live posting totals     on claim_id   (semi-joined with the claims, summed)
+    derive -> group by the report columns but the carrier name -> SUM(recovered)
+    |--left--- carrier_a (filtered, equal rows counted)  on carrier_cd
 
 Notes on the physical plan:
 
@@ -17,8 +16,11 @@ Notes on the physical plan:
   filter: ``STATUS = 'OPEN'`` after the aggregate is rewritten to the raw
   status codes that map to 'OPEN' (the status is a group key, so filtering
   groups by it equals filtering rows by it).
-* Postings are summed per claim before the join (``operators.preagg``): a
-  claim with a huge number of postings is combined map-side.
+* Postings are reduced to the claims and summed per claim before the join
+  (``operators.preagg``). The header join is itself the reduction of the
+  headers: nothing is aggregated below it.
+* Carrier names join the grouped rows (``operators.carriers``).
+* No broadcast is forced: Spark decides by statistics and measured sizes.
 * ``claim_id`` is not a group key: claims with equal report columns merge and
   their amounts add, as in the original report.
 """
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 
 from remitview.config import ReportConfig
 from remitview.functions import derive as D
+from remitview.operators.carriers import join_carriers
 from remitview.operators.preagg import live_posting_totals
-from remitview.operators.sizing import fits_many, maybe_broadcast
 from remitview.plans.headers import OPEN_COLUMNS
 
 OPEN_GROUP_KEYS = tuple(c for c in OPEN_COLUMNS if c != "amount_recovered")
@@ -58,12 +60,12 @@ def open_claim_filter(cfg: ReportConfig, program: str | None, lo, hi) -> Column:
     c = F.col
     # Most selective first: generated code short-circuits AND left to right.
     cond = (
-        c("bill_dt").between(F.lit(lo), F.lit(hi))
-        & (c("delete_ind") == F.lit(cfg.live_flag))
-        & (c("contract_num") == F.lit(cfg.contract_num))
+        D.as_date_col("bill_dt").between(F.lit(lo), F.lit(hi))
+        & D.one_of("delete_ind", (cfg.live_flag,), cfg)
+        & D.one_of("contract_num", (cfg.contract_num,), cfg)
         # Lexical comparison on a text code: '9' >= '30' is true.
         & (c("project_cd") >= F.lit(cfg.project_floor))
-        & (c("bill_type_cd") != F.lit(cfg.excluded_bill_type))
+        & (D.text_key("bill_type_cd", cfg) != F.lit(cfg.excluded_bill_type))
         & c("rebill_dt").isNull()
         & D.not_equal_trimmed("carrier_cd", cfg.excluded_carrier)
     )
@@ -72,6 +74,21 @@ def open_claim_filter(cfg: ReportConfig, program: str | None, lo, hi) -> Column:
     return cond
 
 
+def month_claims(claim: DataFrame, program: str | None, lo, hi, cfg: ReportConfig, status: str | None) -> DataFrame:
+    """The template's claims, whole rows."""
+    cond = open_claim_filter(cfg, program, lo, hi)
+    if status is not None:
+        cond = cond & D.one_of("status_cd", status_codes_for(status, cfg), cfg)
+    return claim.where(cond)
+
+
+def listed_carriers(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFrame:
+    return tables["carrier_a"].where(
+        D.one_of("data_source_cd", (cfg.carrier_data_source,), cfg)
+        & D.one_of("carrier_office_cd", (cfg.carrier_office,), cfg)
+    )
+
+
 def open_rows(
     tables: dict[str, DataFrame],
     program: str | None,
@@ -80,37 +97,11 @@ def open_rows(
     cfg: ReportConfig = ReportConfig(),
     status: str | None = None,
 ) -> DataFrame:
-    """Claim-level rows of the template, before grouping (one per claim x carrier match)."""
-    cond = open_claim_filter(cfg, program, lo, hi)
-    if status is not None:
-        cond = cond & F.col("status_cd").isin(*status_codes_for(status, cfg))
-    claims = tables["claim"].where(cond).select(*CLAIM_COLUMNS)
-
+    """Claim-level rows of the template, before grouping (one per claim; carrier names come later)."""
+    month = month_claims(tables["claim"], program, lo, hi, cfg, status)
+    totals = live_posting_totals(tables["posting"], month, cfg).select("claim_id", "remit_total")
     header = tables["claim_header"].select("header_id", "paid_hdr_amt", "paid_dt")
-    carriers = (
-        tables["carrier_a"]
-        .where(
-            (F.col("data_source_cd") == F.lit(cfg.carrier_data_source))
-            & (F.col("carrier_office_cd") == F.lit(cfg.carrier_office))
-        )
-        .select("carrier_cd", "carrier_nm")
-    )
-    # Both size checks run as concurrent jobs.
-    small = fits_many({"claim_ids": claims.select("claim_id"), "carriers": carriers}, cfg.broadcast_max_rows)
-    totals, bounded = live_posting_totals(
-        tables["posting"], claims, cfg.live_flag, cfg.broadcast_max_rows, ids_small=small["claim_ids"]
-    )
-    totals = maybe_broadcast(totals.select("claim_id", "remit_total"), bounded)
-    if small["claim_ids"]:
-        # Only the month's headers take part in the shuffle join; AQE can then
-        # turn it into a broadcast from the real (reduced) size.
-        header = header.join(F.broadcast(claims.select("header_id")), "header_id", "left_semi")
-
-    joined = (
-        claims.join(header, "header_id", "inner")
-        .join(totals, "claim_id", "left")
-        .join(maybe_broadcast(carriers, small["carriers"]), "carrier_cd", "left")
-    )
+    joined = month.select(*CLAIM_COLUMNS).join(header, "header_id", "inner").join(totals, "claim_id", "left")
     return joined.select(
         "ar_seq",
         "last_name",
@@ -126,7 +117,6 @@ def open_rows(
         F.col("paid_dt").alias("paid_date"),
         D.zero_if_null("remit_total").alias("remit_amt"),
         F.col("carrier_cd").alias("carrier_code"),
-        F.col("carrier_nm").alias("carrier_name"),
         F.col("bill_dt").alias("original_bill_date"),
         D.rebill_or_bill("rebill_dt", "bill_dt").alias("rebill_date"),
         D.open_status("status_cd", cfg).alias("status"),
@@ -134,12 +124,18 @@ def open_rows(
     )
 
 
-def group_open(rows: DataFrame) -> DataFrame:
-    """SUM of the recovered amount over the 18 other report columns."""
+def group_open(
+    rows: DataFrame, tables: dict[str, DataFrame], cfg: ReportConfig = ReportConfig(), by: tuple[str, ...] = ()
+) -> DataFrame:
+    """SUM of the recovered amount over the 18 other report columns (and the columns ``by``)."""
+    sums = rows.groupBy(*by, *(k for k in OPEN_GROUP_KEYS if k != "carrier_name")).agg(
+        F.sum("remit_amt").alias("__total")
+    )
+    named = join_carriers(sums, listed_carriers(tables, cfg), "carrier_code", "left", cfg)
     return (
-        rows.groupBy(*OPEN_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("amount_recovered"))
-        .select(*OPEN_COLUMNS)
+        named.withColumnRenamed("carrier_nm", "carrier_name")
+        .withColumn("amount_recovered", (F.col("__total") * F.col("__times")).cast(D.MONEY_SUM))
+        .select(*by, *OPEN_COLUMNS)
     )
 
 
@@ -151,4 +147,4 @@ def open_report(
     cfg: ReportConfig = ReportConfig(),
 ) -> DataFrame:
     """The OPEN report for one program ('ffs' or 'cco') and one bill-date window."""
-    return group_open(open_rows(tables, program, lo, hi, cfg, status=cfg.open_report_status))
+    return group_open(open_rows(tables, program, lo, hi, cfg, status=cfg.open_report_status), tables, cfg)

@@ -8,16 +8,16 @@ Layout under ``out_root``::
     run_date=YYYYMMDD/report=denied/program=cco/part-*.csv
     run_date=YYYYMMDD/_status/              ('running' first, 'complete' last)
 
-In ``text`` mode (byte parity) each extract is a directory named like the
-original file, e.g. ``report=denied/ORMTHLY.ORDENIALSOUTFFS.YYYYMMDD.txt/``,
+In ``text`` mode (byte parity) each extract is a directory under
+``report=.../`` named by ``extract_names`` (default ``open_ffs.YYYYMMDD.txt``),
 holding one part file with ``single_file=True``.
 
 Each template is computed *once* for both programs -- the program is one more
-group key -- and written with ``partitionBy("program")``: one scan, one join
-pipeline and one aggregation per template instead of one per report.  The
-run is complete only when ``_complete`` exists; any failure propagates and
-leaves the status at 'running' (fail closed), and a rerun overwrites the same
-paths.  Readers take a run only when ``read_status`` says 'complete'.
+group key: one scan, one join pipeline and one aggregation per template instead of
+one per report. The result is kept while each program is written under its own
+headers.  The run is complete only when ``_status`` says so, with the path and
+row count of every report; any failure propagates and leaves the status at
+'running' (fail closed), and a rerun overwrites the same paths.
 """
 
 from __future__ import annotations
@@ -36,19 +36,15 @@ from remitview.functions.period import as_date, prev_month_window, run_stamps
 from remitview.functions.present import display_view
 from remitview.plans import denied_report as DR
 from remitview.plans import open_report as OR
-from remitview.plans.headers import DENIED_COLUMNS, OPEN_COLUMNS
 from remitview.sources import sink
 from remitview.sources.tables import DENIED_ROLES, OPEN_ROLES, check_roles
 
 TEMPLATES = ("open", "denied")
 
-# Names of the original text extracts ({d} = run date YYYYMMDD).
-EXTRACT_NAMES = {
-    ("open", "ffs"): "ORMTHLY.MTHLYBILLFFS.{d}.txt",
-    ("open", "cco"): "ORMTHLY.MTHLYBILLCCO.{d}.txt",
-    ("denied", "ffs"): "ORMTHLY.ORDENIALSOUTFFS.{d}.txt",
-    ("denied", "cco"): "ORMTHLY.ORDENIALSOUTCCO.{d}.txt",
-}
+
+def default_extract_names() -> dict[tuple[str, str], str]:
+    """File names of the text extracts; ``{d}`` is the run date YYYYMMDD."""
+    return {(t, p): f"{t}_{p}.{{d}}.txt" for t in TEMPLATES for p in PROGRAMS}
 
 
 def _with_program(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -59,21 +55,18 @@ def _with_program(rows: DataFrame, cfg: ReportConfig) -> DataFrame:
 
 
 @contextlib.contextmanager
-def window_inputs(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date):
-    """The run's tables with the month's claims kept for the run's duration.
-
-    Each template reads its month of claims several times (size check,
-    semi-join keys, main pipeline).  Keeping the window-filtered claims,
-    projected to the columns the templates use, turns those into one scan.
-    The templates re-apply the same window filter, so results are unchanged;
-    lost cached blocks are recomputed from lineage.
+def window_inputs(
+    tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig = ReportConfig()
+):
+    """The run's tables with the reports' claims kept for the run's duration.
+
+    Each template reads its claims twice (semi-join keys, main pipeline).
+    Keeping them, after all the claim filters and with the template's columns
+    alone, turns that into one scan. The templates re-apply the same filters,
+    so results are unchanged; lost cached blocks are recomputed from lineage.
     """
-    claim = tables["claim"].where(F.col("bill_dt").between(F.lit(lo), F.lit(hi))).select(*OPEN_ROLES["claim"])
-    claim_b = (
-        tables["claim_b"]
-        .where(D.as_date_col("remit_dt").between(F.lit(lo), F.lit(hi)))
-        .select(*DENIED_ROLES["claim_b"])
-    )
+    claim = OR.month_claims(tables["claim"], None, lo, hi, cfg, cfg.open_report_status).select(*OPEN_ROLES["claim"])
+    claim_b = DR.month_claims(tables["claim_b"], None, lo, hi, cfg)
     kept = [claim.persist(), claim_b.persist()]
     try:
         yield {**tables, "claim": kept[0], "claim_b": kept[1]}
@@ -85,21 +78,13 @@ def window_inputs(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date):
 def open_template(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
     """The OPEN template for both programs, with a ``program`` column."""
     rows = _with_program(OR.open_rows(tables, None, lo, hi, cfg, status=cfg.open_report_status), cfg)
-    return (
-        rows.groupBy("program", *OR.OPEN_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("amount_recovered"))
-        .select("program", *OPEN_COLUMNS)
-    )
+    return OR.group_open(rows, tables, cfg, ("program",))
 
 
 def denied_template(tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
     """The DENIED template for both programs, with a ``program`` column."""
     rows = _with_program(DR.denied_rows(tables, None, lo, hi, cfg), cfg)
-    return (
-        rows.groupBy("program", *DR.DENIED_GROUP_KEYS)
-        .agg(F.sum("remit_amt").cast(D.MONEY_SUM).alias("actual_amount_recovered"))
-        .select("program", *DENIED_COLUMNS)
-    )
+    return DR.group_denied(rows, tables, cfg, ("program",))
 
 
 BUILDERS = {"open": open_template, "denied": denied_template}
@@ -123,8 +108,12 @@ def run_month(
     cfg: ReportConfig = ReportConfig(),
     fmt: str = "csv",
     single_file: bool = False,
+    extract_names: dict[tuple[str, str], str] | None = None,
 ) -> dict[str, str]:
-    """Write the four reports of the month before ``as_of``; returns the output paths."""
+    """Write the four reports of the month before ``as_of``; returns the output paths.
+
+    ``extract_names[(template, program)]``: names of text extracts, ``{d}`` for the run date.
+    """
     if fmt not in ("csv", "display", "text"):
         raise ValueError(f"unknown format {fmt!r}")
     check_roles(tables, {**OPEN_ROLES, **DENIED_ROLES})
@@ -132,67 +121,97 @@ def run_month(
     lo, hi = prev_month_window(as_of)
     stamp = run_stamps(as_of)["yyyymmdd"]
     base = f"{out_root.rstrip('/')}/run_date={stamp}"
-    _write_status(spark, base, as_of, lo, hi, "running")
-    with window_inputs(tables, lo, hi) as month:
-        paths = _build_and_write(month, lo, hi, cfg, base, stamp, fmt, single_file)
-    paths["_status"] = _write_status(spark, base, as_of, lo, hi, "complete")
+    names = {k: v.format(d=stamp) for k, v in {**default_extract_names(), **(extract_names or {})}.items()}
+    _write_status(spark, base, as_of, lo, hi, "running", [])
+    with window_inputs(tables, lo, hi, cfg) as month:
+        reports = _build_and_write(month, lo, hi, cfg, base, names, fmt, single_file)
+    paths = {t: f"{base}/report={t}" for t in TEMPLATES}
+    paths["_status"] = _write_status(spark, base, as_of, lo, hi, "complete", reports)
     return paths
 
 
 def _build_and_write(
-    tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig, base: str, stamp: str, fmt: str,
-    single_file: bool,
-) -> dict[str, str]:
+    tables: dict[str, DataFrame], lo: dt.date, hi: dt.date, cfg: ReportConfig, base: str,
+    names: dict[tuple[str, str], str], fmt: str, single_file: bool,
+) -> list[tuple[str, str, str, int]]:
     """Build and write both templates as concurrent Spark jobs (one driver thread each).
 
-    The two templates share no stages, so their size checks, scans, joins and
-    writes are scheduled side by side; the first failure propagates.
+    The two templates share no stages, so their scans, joins and writes are
+    scheduled side by side; the first failure propagates.
     """
 
-    def one(template: str) -> str:
+    def one(template: str) -> list[tuple[str, str, str, int]]:
         df = BUILDERS[template](tables, lo, hi, cfg)
-        return _write_template(df, template, f"{base}/report={template}", stamp, fmt, single_file)
+        return _write_template(df, template, f"{base}/report={template}", names, fmt, single_file)
 
     with ThreadPoolExecutor(max_workers=len(TEMPLATES)) as pool:
-        futures = {t: pool.submit(one, t) for t in TEMPLATES}
-        return {t: f.result() for t, f in futures.items()}
-
-
-def _write_template(df: DataFrame, template: str, path: str, stamp: str, fmt: str, single_file: bool) -> str:
-    if fmt in ("csv", "display"):
-        # 'display': money as $#,##0.00 and dates as MM/DD/YYYY (the
-        # presentation the original workbook applied), still one pass.
-        out = display_view(df, template) if fmt == "display" else df
-        sink.write_quoted_csv(out, path, template, partition_by=["program"], single_file=single_file)
-    else:
-        # One text extract per program (headers differ by program); the
-        # template result is kept between the two writes (lost blocks are
-        # recomputed from lineage, so this survives executor loss).
-        df = df.persist()
-        try:
-            for program in PROGRAMS:
-                part = df.where(F.col("program") == F.lit(program)).drop("program")
-                name = EXTRACT_NAMES[(template, program)].format(d=stamp)
-                sink.write_quoted_text(part, f"{path}/{name}", template, program, single_file=single_file)
-        finally:
-            df.unpersist()
-    return path
+        futures = [pool.submit(one, t) for t in TEMPLATES]
+        return [r for f in futures for r in f.result()]
+
 
+def _write_template(
+    df: DataFrame, template: str, path: str, names: dict[tuple[str, str], str], fmt: str, single_file: bool
+) -> list[tuple[str, str, str, int]]:
+    """Write one extract per program (headers differ); ``(template, program, path, rows)`` of each.
 
-def _write_status(spark: SparkSession, base: str, as_of: dt.date, lo: dt.date, hi: dt.date, state: str) -> str:
-    values = {"state": state, "as_of": as_of.isoformat(), "first_day": lo.isoformat(), "last_day": hi.isoformat(),
-              "templates": ",".join(TEMPLATES)}
-    status = spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+    The template's result is kept between the writes (lost blocks are
+    recomputed from lineage, so this survives executor loss).
+    """
+    df = df.persist()
+    try:
+        written = []
+        counts = {r["program"]: r["count"] for r in df.groupBy("program").count().collect()}
+        for program in PROGRAMS:
+            part = df.where(F.col("program") == F.lit(program)).drop("program")
+            if fmt == "text":
+                target = f"{path}/{names[(template, program)]}"
+                sink.write_quoted_text(part, target, template, program, single_file=single_file)
+            else:
+                # 'display': money as $#,##0.00 and dates as MM/DD/YYYY (the
+                # presentation the original workbook applied).
+                target = f"{path}/program={program}"
+                out = display_view(part, template) if fmt == "display" else part
+                sink.write_quoted_csv(out, target, template, program, single_file=single_file)
+            written.append((template, program, target, counts.get(program, 0)))
+        return written
+    finally:
+        df.unpersist()
+
+
+def _write_status(
+    spark: SparkSession, base: str, as_of: dt.date, lo: dt.date, hi: dt.date, state: str,
+    reports: list[tuple[str, str, str, int]],
+) -> str:
+    """One row: the run's state and window, and path and row count of every report written."""
+    values = {"state": state, "as_of": as_of.isoformat(), "first_day": lo.isoformat(), "last_day": hi.isoformat()}
+    entries = [
+        F.struct(
+            F.lit(t).alias("template"), F.lit(p).alias("program"), F.lit(path).alias("path"),
+            F.lit(n).cast("bigint").alias("rows"),
+        )
+        for t, p, path, n in reports
+    ]
+    status = spark.range(1, numPartitions=1).select(
+        *[F.lit(v).alias(k) for k, v in values.items()], F.array(*entries).alias("reports")
+    )
     path = f"{base}/_status"
-    status.coalesce(1).write.mode("overwrite").json(path)
+    status.write.mode("overwrite").json(path)
     return path
 
 
 def read_status(spark: SparkSession, out_root: str, as_of) -> str | None:
     """'complete', 'running' or None (never started) for the run of ``as_of``."""
+    manifest = read_manifest(spark, out_root, as_of)
+    return manifest["state"] if manifest else None
+
+
+def read_manifest(spark: SparkSession, out_root: str, as_of):
+    """The status row of the run of ``as_of``: ``state`` and ``reports`` (template, program, path,
+    rows); None if the run never started."""
     path = f"{out_root.rstrip('/')}/run_date={run_stamps(as_date(as_of))['yyyymmdd']}/_status"
+    schema = "state string, reports array<struct<template:string,program:string,path:string,rows:bigint>>"
     try:
-        rows = spark.read.schema("state string").json(path).limit(1).collect()
-    except AnalysisException:  # no status yet: the run never started
+        rows = spark.read.schema(schema).json(path).limit(1).collect()
+    except AnalysisException:  # no status yet
         return None
-    return rows[0]["state"] if rows else None
+    return rows[0] if rows else None

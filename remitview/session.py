@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on.  On a cluster the cluster's own values win for
@@ -12,6 +10,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # An aggregation never inherits a join's partitioning by fewer keys: AQE
+    # may then split the join's hot keys, and equal rows combine before the sum.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -33,21 +34,16 @@ def local_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only if unset.
+def configure(spark: SparkSession, time_zone: str) -> SparkSession:
+    """Settings of a report run on a session made elsewhere.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left
-    alone; the scratch folder is for local runs only.
+    The time zone decides the day of a zoned timestamp (remit times near the
+    ends of the month), so it is the run's choice, not the cluster's.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="remitview-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    spark.conf.set("spark.sql.session.timeZone", time_zone)
+    for k, v in SQL_DEFAULTS.items():
+        spark.conf.set(k, v)
+    return spark

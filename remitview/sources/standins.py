@@ -35,6 +35,7 @@ from __future__ import annotations
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -318,3 +319,18 @@ def all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = open_tables(spark, sf_dir)
     t.update(denied_tables(spark, sf_dir))
     return t
+
+
+def padded_carriers(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The OPEN roles with blanks after some carrier codes: claims of odd ids, carriers of odd length names."""
+    claim, carriers = tables["claim"], tables["carrier_a"]
+    return {
+        **tables,
+        "claim": claim.withColumn(
+            "carrier_cd", F.expr("CASE WHEN claim_id % 2 = 1 THEN concat(carrier_cd, '   ') ELSE carrier_cd END")
+        ),
+        "carrier_a": carriers.withColumn(
+            "carrier_cd",
+            F.expr("CASE WHEN length(carrier_nm) % 2 = 1 THEN concat(carrier_cd, '  ') ELSE carrier_cd END"),
+        ),
+    }

@@ -38,17 +38,40 @@ DENIED_ROLES = {
 }
 
 
+def _expected_types(column: str) -> tuple[str, ...] | None:
+    """Type names a column may have; None for keys, whose type is the source's own."""
+    if column in ("remit_dt", "carrier_ack_ts"):
+        return ("date", "timestamp", "timestamp_ntz")
+    if column.endswith(("_dt", "_dos")):
+        return ("date",)
+    if column.endswith("_amt"):
+        return ("decimal",)
+    if column.endswith(("_cd", "_ind", "_nm", "_name")) or column in ("icn", "contract_num", "code", "description"):
+        return ("string", "char", "varchar")
+    return None
+
+
 def check_roles(tables: dict[str, DataFrame], roles: dict[str, tuple[str, ...]]) -> None:
-    """Fail early (before any job runs) when a role or a column is missing."""
-    missing = []
+    """Fail early (before any job runs) when a role or a column is missing or has a wrong type.
+
+    A bill date with a time of day would fall out of the closed window on the
+    month's last day, and floating-point money would not add up to the cent.
+    """
+    missing, wrong = [], []
     for role, cols in roles.items():
         if role not in tables:
             missing.append(role)
             continue
-        have = set(tables[role].columns)
+        have = {f.name: f.dataType.typeName() for f in tables[role].schema.fields}
         missing += [f"{role}.{c}" for c in cols if c not in have]
+        for c in cols:
+            expected = _expected_types(c)
+            if c in have and expected and have[c] not in expected:
+                wrong.append(f"{role}.{c} is {have[c]}, not {' or '.join(expected)}")
     if missing:
         raise ValueError(f"missing report inputs: {', '.join(missing)}")
+    if wrong:
+        raise ValueError(f"wrong types of report inputs: {'; '.join(wrong)}")
 
 
 def load_tables(

@@ -29,7 +29,7 @@ def test_lookup_equals_ordered_case(spark, xwalk, data, case_sensitive, default)
         [(c, i, t) for i, (c, t) in enumerate(xwalk)], "code string, priority int, description string"
     )
     df = spark.createDataFrame([(i, c) for i, c in enumerate(data)], "id int, code string")
-    out = X.lookup(df, "code", X.resolve(dim, case_sensitive), "desc", default, case_sensitive, small=True)
+    out = X.lookup(df, "code", X.resolve(dim, case_sensitive), "desc", default, case_sensitive)
     got = {r["id"]: r["desc"] for r in out.collect()}
     expected = {i: case_first_match(c, xwalk, default, case_sensitive) for i, c in enumerate(data)}
     assert got == expected
@@ -40,7 +40,7 @@ def test_lookup_equals_ordered_case(spark, xwalk, data, case_sensitive, default)
 def test_exclusion_equals_not_in(spark, codes, data):
     listed = spark.createDataFrame([(c,) for c in codes], "code string")
     df = spark.createDataFrame([(i, c) for i, c in enumerate(data)], "id int, code string")
-    kept = {r["id"] for r in X.exclude_codes(df, "code", listed, small=True).collect()}
+    kept = {r["id"] for r in X.exclude_codes(df, "code", listed).collect()}
     keys = {c.rstrip(" ") for c in codes}
     expected = {i for i, c in enumerate(data) if c is not None and c.rstrip(" ") not in keys}
     assert kept == expected

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from remitview import catalog as C
 from remitview.functions.present import quoted_line
 from remitview.plans.headers import DENIED_COLUMNS, DENIED_HEADERS, OPEN_HEADERS
-from remitview.plans.run import read_status, run_month
+from remitview.plans.run import read_manifest, read_status, run_month
 from remitview.sources import sink
 from remitview.sources import standins as S
 from tests.conftest import SF01
@@ -76,17 +76,26 @@ def test_run_month_layout_and_status(spark, scratch):
         ffs = back.where(F.col("program") == "ffs").drop("program")
         assert ffs.count() == single(spark, SF01).count()
         assert set(back.select("program").distinct().toPandas()["program"]) <= {"ffs", "cco"}
+    manifest = read_manifest(spark, out, C.AS_OF)
+    assert {(r["template"], r["program"]) for r in manifest["reports"]} == {
+        (t, p) for t in ("open", "denied") for p in ("ffs", "cco")
+    }
+    for r in manifest["reports"]:
+        assert spark.read.options(**sink.CSV_OPTIONS).csv(r["path"]).count() == r["rows"]
+    cco = spark.read.options(**sink.CSV_OPTIONS).csv(os.path.join(paths["open"], "program=cco"))
+    assert not cco.columns or "RECiPIENT ID" in cco.columns
 
 
 def test_run_month_text_mode(spark, scratch):
     tables = {**S.open_tables(spark, SF01), **S.denied_tables(spark, SF01)}
     out = os.path.join(scratch, "runs_txt")
-    paths = run_month(spark, tables, C.AS_OF, out, fmt="text", single_file=True)
-    (part,) = glob.glob(os.path.join(paths["denied"], "ORMTHLY.ORDENIALSOUTFFS.19960915.txt", "part-*"))
+    names = {("denied", "ffs"): "DENIED.{d}.txt"}
+    paths = run_month(spark, tables, C.AS_OF, out, fmt="text", single_file=True, extract_names=names)
+    (part,) = glob.glob(os.path.join(paths["denied"], "DENIED.19960915.txt", "part-*"))
     lines = open(part).read().splitlines()
     assert lines[0] == sink.header_line([h for _, h in DENIED_HEADERS])
     assert len(lines) - 1 == C.denied_ffs(spark, SF01).count()
-    assert glob.glob(os.path.join(paths["open"], "ORMTHLY.MTHLYBILLCCO.19960915.txt", "part-*"))
+    assert glob.glob(os.path.join(paths["open"], "open_cco.19960915.txt", "part-*"))
 
 
 def test_run_month_display_mode(spark, scratch):
