@@ -4,8 +4,9 @@
 
 Each query is executed completely with the ``noop`` sink (all rows produced,
 nothing collected to the driver).  The four reports run once untimed first so
-JIT warm-up is not charged to the first query; each time is the best of
-``BENCH_REPEATS`` (default 2) runs.  ``value`` is the sum of the per-query
+JIT warm-up is not charged to the first query; each time is the median of
+``BENCH_REPEATS`` (default 5) runs. ``BENCH_BROADCAST=-1`` switches Spark's own
+broadcasts off (shuffle joins only).  ``value`` is the sum of the per-query
 wall times in seconds; ``reports_sec`` is the sum for the four
 reports alone; ``run_month_sec`` is the one-pass monthly run (both templates,
 both programs, August 1996) -- what a production run executes.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import statistics
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -38,27 +40,29 @@ def main() -> None:
     from remitview.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="remitview-bench")
+    if "BENCH_BROADCAST" in os.environ:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, os.environ["BENCH_BROADCAST"])
     for k in REPORTS:
         run(catalog.QUERIES[k](spark, sf_dir))
 
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     times = {}
     for k, q in catalog.QUERIES.items():
         if only and k not in only:
             continue
-        best = None
+        taken = []
         for _ in range(repeats):
             t0 = time.perf_counter()
-            run(q(spark, sf_dir))  # plan construction (incl. size checks) is part of the time
-            t = time.perf_counter() - t0
-            best = t if best is None else min(best, t)
-        times[k] = round(best, 3)
+            run(q(spark, sf_dir))  # plan construction is part of the time
+            taken.append(time.perf_counter() - t0)
+        times[k] = round(statistics.median(taken), 3)
 
     # The monthly run computes each template once for both programs.
     from remitview.plans.run import BUILDERS, window_inputs
     from remitview.sources import standins
 
-    run_month_sec = None
+    taken = []
     for _ in range(repeats):
         t0 = time.perf_counter()
         tables = {**standins.open_tables(spark, sf_dir), **standins.denied_tables(spark, sf_dir)}
@@ -70,9 +74,8 @@ def main() -> None:
             with ThreadPoolExecutor(max_workers=len(BUILDERS)) as pool:
                 for f in [pool.submit(one, t) for t in BUILDERS]:
                     f.result()
-        t = time.perf_counter() - t0
-        run_month_sec = t if run_month_sec is None else min(run_month_sec, t)
-    run_month_sec = round(run_month_sec, 3)
+        taken.append(time.perf_counter() - t0)
+    run_month_sec = round(statistics.median(taken), 3)
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     out = {
