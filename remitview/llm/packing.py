@@ -51,11 +51,15 @@ def token_ids(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
 
     Texts of Latin letters only go through the faster library, whose ids are the same there (a test
     compares every such character); texts with others, where the two libraries' Unicode tables might
-    differ, or with the special token's string, go through the tokenizer itself.
+    differ, or with the special token's string, go through the tokenizer itself; so does a text that
+    the faster library gives up on (its pattern's stack ends at runs of about a million white spaces).
     """
     exact, fast = _encoders(vocabulary)
     if (text.isascii() or max(text) < "ɐ") and SPECIAL not in text:
-        return np.asarray(fast.encode_to_numpy(text), "<u4")
+        try:
+            return np.asarray(fast.encode_to_numpy(text), "<u4")
+        except ValueError:
+            pass
     return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
 
 

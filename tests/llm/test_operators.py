@@ -220,6 +220,17 @@ def test_fast_tokens_are_the_tokenizers():
         assert packing.token_ids(t).tolist() == exact.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_takes_endless_white_space(spark):
+    text = "a" + " " * 1_000_100 + "b" + "\n" * 1_000_100 + "c"
+    exact, _ = packing._encoders(packing.VOCABULARY)
+    expected = [*exact.encode(text, add_special_tokens=False).ids, 0]
+    rows = packing.pack(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")).collect()
+    assert sum(x.length for x in rows if x.doc_id == 1) == len(expected) and any(x.doc_id == 2 for x in rows)
+    for x in rows:
+        if x.doc_id == 1:
+            assert x.ids_crc32 == zlib.crc32(np.array(expected[x.start : x.start + x.length], "<u4").tobytes())
+
+
 def test_viterbi(docs, empty, texts):
     import public_tokenizers
 
