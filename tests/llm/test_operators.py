@@ -155,6 +155,19 @@ def test_lines(docs, empty, texts):
     assert line_dedup.duplicate_lines(empty).count() == 0
 
 
+def test_short_and_unspaced_lines_are_judged(spark):
+    r = random.Random(4)
+    han = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(400))
+    clauses = " ".join("".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(40)) for _ in range(10))
+    near = [han[:200] + chr(0x4E00 + i) + han[201:] for i in range(6)]
+    rows = [(1, "Read more\n" + han), (2, "read more!\n\n--\n" + han + "\nother"), (3, clauses), (4, clauses + "\nRead  more"), *((5 + i, x) for i, x in enumerate(near))]
+    found = {x.id: x.lines for x in line_dedup.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[2] == [0, 3] and found[4] == [0, 1] and 1 not in found and 3 not in found
+    fp = line_dedup.line_fingerprints([line_dedup.normal(x.encode()) for x in (han, *near)])
+    close = [5 + i for i in range(6) if int(fp[0] ^ fp[1 + i]).bit_count() <= line_dedup.BUDGET]
+    assert close and all(found[i] == [0] for i in close)
+
+
 def test_top_k(spark):
     r = np.random.default_rng(4)
     x = np.concatenate([r.normal(c, 0.05, (60, 8)) for c in r.normal(0, 1, (6, 8))])
