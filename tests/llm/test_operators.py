@@ -311,6 +311,30 @@ def test_licenses(spark, empty):
     assert license_digests.scan(empty).count() == 0
 
 
+def test_licenses_wrapped_titled_and_named(spark):
+    import textwrap
+
+    whole = {}
+    for i, t in license_digests.KNOWN:
+        if len(t) > 400 and i not in whole:
+            whole[i] = t
+    wrapped = lambda t, n: "\n".join(x for p in t.split("\n") for x in (textwrap.wrap(p, n, break_on_hyphens=False) or [""]))
+    rows, expected = [], {}
+    for i in ("MIT", "ISC", "0BSD", "Zlib", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "CC0-1.0"):
+        for n in (50, 72, 80, 10**6) if len(whole[i]) < 3000 else (10**6,):
+            rows.append((len(rows), wrapped(whole[i], n)))
+            expected[len(rows) - 1] = i
+    isc = wrapped(whole["ISC"].replace(" copyright notice and", "\ncopyright notice and"), 80)
+    rows.append((len(rows), "Copyright 2020 Some Body\nAll rights reserved.\n" + isc.partition("\n\n")[2].partition("\n\n")[2]))
+    expected[len(rows) - 1] = "ISC"
+    notices = {"Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under the GNU General Public License, version 2.": "GPL-2.0-only", "This project is licensed under the BSD 3-Clause License.": "BSD-3-Clause", "SPDX-License-Identifier: MPL-2.0": "MPL-2.0"}
+    for text, i in notices.items():
+        rows.append((len(rows), text))
+        expected[len(rows) - 1] = i
+    found = license_digests.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.id: x.license_id for x in found} == expected
+
+
 def test_language(spark, empty):
     r = random.Random(1)
     words = {"xx": [f"{a}{b}" for a in "bdfg" for b in ("ana", "oko", "ulu")], "yy": [f"{a}{b}" for a in ("str", "pl") for b in ("eim", "ist", "ung")]}
