@@ -9,11 +9,13 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space of every word pattern here: bytes 0x20 and 0x09-0x0D. ``bytes.split()`` splits at exactly these.
@@ -63,6 +65,36 @@ def id_text_crc(col: str) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB expression of a text's unsigned crc32 (UTF-8 letters of one byte, as in ids), bit by bit."""
+    bits = "list_reduce([xor(c, b::BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    letters = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {letters}), lambda c, b: {bits}), 4294967295)"
+
+
+def numbered(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with ``pos``, a row's place (from 0) among the rows of equal ``keys`` in the order
+    ``order``, and ``n``, their number.
+
+    No group meets in one task: the rows are cut into ranges of (keys, order, a hash of the row's own
+    number), so the largest group, and any number of equal rows, spreads over as many tasks as its
+    share asks for. A range's rows count on from the sum of the ranges before it, one row per range
+    and key. Rows equal in keys and order stand in any order among themselves. ``keys`` may be null.
+    """
+    salted = materialise(df.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id())), f"{name}-rows")
+    by = [*(F.col(k) for k in keys), *order, F.col("__salt")]
+    sorted_ = salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("__salt")
+    sorted_ = materialise(sorted_.withColumn("__row", F.monotonically_increasing_id()), f"{name}-sorted")
+    part = F.shiftright("__row", 33)
+    ranges = sorted_.groupBy(part.alias("__part"), *(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min("__row").alias("__first"), F.count("*").alias("__rows"))
+    group = Window.partitionBy(*(f"__{k}" for k in keys))
+    before = F.sum("__rows").over(group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select("*", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__rows").over(group).alias("n"))
+    same = [part == F.col("__part"), *(F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys)]
+    joined = sorted_.join(ranges, reduce(and_, same))
+    return joined.select(*df.columns, (F.col("__row") - F.col("__first") + F.col("__before")).alias("pos"), "n")
+
+
 def ship(spark: SparkSession) -> None:
     """Hand this package to the executors' Python workers, once for a Spark context, so that tasks
     can import it wherever it is installed on the driver only."""
