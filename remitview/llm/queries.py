@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitview.llm import conversation_repair, license_digests, line_dedup, mcd_outliers, merkle_manifest, packing, quality_rules, sentencepiece_viterbi, simhash_trie, suffix_dedup, voronoi_topk, zstd_language
+from remitview.llm import conversation_repair, license_digests, line_dedup, mcd_outliers, merkle_manifest, packing, quality_rules, sentencepiece_viterbi, simhash_trie, suffix_dedup, vector_packing, voronoi_topk, zstd_language
 from remitview.llm.common import id_text_crc, table
 
 
@@ -85,11 +85,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
 
 
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    return vector_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and roots of every document, and whether it still verifies once every third text
     (by its id's crc32) is lower-cased."""
     return merkle_manifest.manifest(table(spark, sf_dir, "documents"), merkle_manifest.damaged_every_third())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op5_sentencepiece_viterbi, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language, op11_conversation_repair, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op5_sentencepiece_viterbi, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language, op11_conversation_repair, op12_vector_packing, op13_merkle_manifest)}
 ORACLES: dict[str, str] = {"op9_license_digests": license_digests.oracle_sql(), "op11_conversation_repair": conversation_repair.oracle_sql(), "op13_merkle_manifest": merkle_manifest.oracle_sql()}
