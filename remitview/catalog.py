@@ -30,6 +30,7 @@ from remitview.sources import standins as S
 
 CFG = ReportConfig()
 CFG_NOCASE = ReportConfig(case_sensitive_codes=False)
+CFG_CODE_PAGE = ReportConfig(code_order="cp037")
 CFG_PADDED = ReportConfig(blank_padded=True)
 
 # Report windows of the stand-in data: the run of 1996-09-15 reports August
@@ -131,7 +132,17 @@ def claim_number_split(spark, sf_dir):
 def lexical_code_range(spark, sf_dir):
     """Text comparison on the project code."""
     claim = _open(spark, sf_dir)["claim"]
-    return claim.where(F.col("project_cd") >= F.lit(CFG.project_floor)).groupBy("project_cd").agg(_count())
+    return claim.where(D.at_least("project_cd", CFG.project_floor, CFG)).groupBy("project_cd").agg(_count())
+
+
+def lexical_code_collated(spark, sf_dir):
+    """W2 for a source whose code page orders letters before digits: both orders of every code."""
+    claim = S.lettered_projects(_open(spark, sf_dir))["claim"]
+    return claim.groupBy(
+        "project_cd",
+        D.at_least("project_cd", CFG.project_floor, CFG).alias("in_binary_order"),
+        D.at_least("project_cd", CFG_CODE_PAGE.project_floor, CFG_CODE_PAGE).alias("in_code_page"),
+    ).agg(_count())
 
 
 def null_rejecting_filters(spark, sf_dir):
@@ -414,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "program_split": program_split,
     "claim_number_split": claim_number_split,
     "lexical_code_range": lexical_code_range,
+    "lexical_code_collated": lexical_code_collated,
     "null_rejecting_filters": null_rejecting_filters,
     "header_join": header_join,
     "left_join_on_predicate": left_join_on_predicate,

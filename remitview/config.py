@@ -8,7 +8,7 @@ sets and the action exclusion list are *input tables*, not configuration; see
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Program constants the two report templates must use to give
 # the same rows as the original job (contract, program prefixes, record flags,
@@ -68,7 +68,17 @@ class ReportConfig:
     # Compare all other text (carrier and contract keys, flags, statuses)
     # blank-padded too; needed where CHAR columns arrive with their padding.
     blank_padded: bool = False
-    extra: dict = field(default_factory=dict)
+    # Columns to compare so where only some are CHAR (sources.tables.padded_columns).
+    padded_columns: frozenset[str] = frozenset()
+    # Order of text codes in the source: "binary", or a code page of Python's
+    # codecs such as "cp037", where letters come before digits.
+    code_order: str = "binary"
+    # The histories are bucketed by their join keys (sources.layout).
+    colocated: bool = False
+
+    def is_padded(self, column) -> bool:
+        """Whether a column (by name; expressions count as unpadded) compares without trailing blanks."""
+        return self.blank_padded or column in self.padded_columns
 
     def program_prefixes(self, program: str) -> tuple[tuple[str, ...], bool]:
         """(prefixes, negate): FFS is 'prefix NOT IN', CCO is 'prefix IN'."""

@@ -6,6 +6,7 @@ whole-stage codegen; none needs a Python UDF.
 
 from __future__ import annotations
 
+import functools
 from functools import reduce
 from operator import or_
 
@@ -78,9 +79,36 @@ def rebill_or_bill(rebill, bill) -> Column:
     return F.coalesce(col_(rebill), col_(bill))
 
 
+def _padded(c, cfg: ReportConfig) -> bool:
+    return cfg.is_padded(c if isinstance(c, str) else None)
+
+
+@functools.cache
+def code_page_order(name: str) -> str:
+    """The printable ASCII letters in the order of a code page."""
+    return "".join(sorted(map(chr, range(0x20, 0x7F)), key=lambda x: x.encode(name)))
+
+
+def at_least(c, floor: str, cfg: ReportConfig) -> Column:
+    """``c >= floor`` in the source's order of text codes.
+
+    Under a code page the letters are replaced by ones whose binary order is the page's; letters
+    that the page does not order come first. A plain range of first letters, which every such code
+    is in, stays beside it for the scan.
+    """
+    c = col_(c)
+    if cfg.code_order == "binary" or not floor:
+        return c >= F.lit(floor)
+    order = code_page_order(cfg.code_order)
+    ranked = "".join(chr(0x100 + i) for i in range(len(order)))
+    first = order[order.index(floor[0]) :]
+    exact = F.translate(c, order, ranked) >= F.lit(floor.translate(str.maketrans(order, ranked)))
+    return (c >= F.lit(min(first))) & (c < F.lit(chr(ord(max(first)) + 1))) & exact
+
+
 def text_key(c, cfg: ReportConfig) -> Column:
     """Text as it compares: without trailing blanks where the source compares blank-padded."""
-    return F.rtrim(col_(c)) if cfg.blank_padded else col_(c)
+    return F.rtrim(col_(c)) if _padded(c, cfg) else col_(c)
 
 
 def one_of(c, values, cfg: ReportConfig) -> Column:
@@ -89,8 +117,8 @@ def one_of(c, values, cfg: ReportConfig) -> Column:
     The blank-padded form keeps a prefix test beside the trimmed one: the scan
     can use it, as it can't use a condition on a trimmed column.
     """
-    c = col_(c)
-    if not cfg.blank_padded:
+    padded, c = _padded(c, cfg), col_(c)
+    if not padded:
         return c.isin(*values) if len(values) != 1 else c == F.lit(values[0])
     prefix = reduce(or_, [c.startswith(v) for v in values])
     return prefix & F.rtrim(c).isin(*values)
@@ -122,7 +150,8 @@ def denied_status(code, cfg: ReportConfig) -> Column:
 
 def date_text(d) -> Column:
     """Date as ``MM/DD/YY`` text (two-digit year)."""
-    return F.date_format(col_(d), "MM/dd/yy")
+    text = col_(d).cast("date").cast("string")
+    return F.concat(F.substring(text, 6, 2), F.lit("/"), F.substring(text, 9, 2), F.lit("/"), F.substring(text, 3, 2))
 
 
 def as_date_col(c) -> Column:

@@ -34,9 +34,8 @@ def render_typed(c: str, dtype: T.DataType) -> Column:
 
 def timestamp_text(c) -> Column:
     """Timestamp as ``str(datetime)`` text; null stays null."""
-    x = col_(c)
-    text = F.when(F.date_format(x, "SSSSSS") == F.lit("000000"), F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
-    return text.otherwise(F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    text = col_(c).cast("string")  # a fraction, where there is one, without its trailing zeros
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
 
 
 def quoted_line(cols, sep: str = '","', schema: T.StructType | None = None) -> Column:

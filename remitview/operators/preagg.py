@@ -16,6 +16,9 @@ contract), so the aggregation brings its own exchange below a partial step:
 AQE may split a hot key of the semi-join, and a claim (or claim key) with a
 large share of all postings or denials reaches the final step as one row per
 task.
+
+With ``cfg.colocated`` the histories are bucketed by the join key. The semi-join
+then has that key alone, so neither it nor the aggregation moves a history row.
 """
 
 from __future__ import annotations
@@ -29,12 +32,17 @@ from remitview.functions import derive as D
 DENIAL_CODES = ("action_cd1", "carrier_action_cd1", "carrier_action_cd2")
 
 
+def _keys(key: str, constant: str, cfg: ReportConfig) -> list[str]:
+    """Join keys: with the column that is one value on both sides, or the bucket key alone."""
+    return [key] if cfg.colocated else [key, constant]
+
+
 def live_posting_totals(posting: DataFrame, claims: DataFrame | None, cfg: ReportConfig) -> DataFrame:
     """``(claim_id, remit_total, n_postings)`` over live postings, of ``claims`` only if given."""
     flag = D.text_key("delete_ind", cfg).alias("__flag")
     live = posting.where(D.one_of("delete_ind", (cfg.live_flag,), cfg)).select("claim_id", flag, "remit_amt")
     if claims is not None:
-        live = live.join(claims.select("claim_id", flag), ["claim_id", "__flag"], "left_semi")
+        live = live.join(claims.select("claim_id", flag), _keys("claim_id", "__flag", cfg), "left_semi")
     return live.groupBy("claim_id").agg(
         F.sum("remit_amt").alias("remit_total"),
         F.count(F.lit(1)).alias("n_postings"),
@@ -46,7 +54,7 @@ def contract_denials(denial: DataFrame, claims: DataFrame | None, cfg: ReportCon
     contract = D.text_key("contract_num", cfg).alias("__contract")
     rows = denial.where(D.one_of("contract_num", (cfg.contract_num,), cfg)).select("ar_seq", contract, *DENIAL_CODES)
     if claims is not None:
-        rows = rows.join(claims.select("ar_seq", contract), ["ar_seq", "__contract"], "left_semi")
+        rows = rows.join(claims.select("ar_seq", contract), _keys("ar_seq", "__contract", cfg), "left_semi")
     return rows
 
 

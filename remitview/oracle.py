@@ -243,6 +243,12 @@ def _claim(sql: str) -> str:
     return with_roles("claim") + sql
 
 
+def _page_ranks(code: str) -> str:
+    """A code's letters as their places in the code page; lists compare letter by letter."""
+    page = "".join(chr(i) for i in sorted(range(32, 127), key=lambda i: chr(i).encode("cp037")))
+    return f"list_transform(string_split({code}, ''), lambda x: strpos({S.sql_literal(page)}, x))"
+
+
 def _claim_b(sql: str) -> str:
     return with_roles("claim_b") + sql
 
@@ -298,6 +304,10 @@ def oracle_queries() -> dict[str, str]:
         "lexical_code_range": _claim(
             "SELECT project_cd, COUNT(*) AS n FROM claim WHERE project_cd >= '30' GROUP BY project_cd"
         ),
+        "lexical_code_collated": _claim(
+            f"SELECT project_cd, project_cd >= '30' AS in_binary_order, {_page_ranks('project_cd')} >= {_page_ranks(chr(39) + '30' + chr(39))} AS in_code_page,"
+            f" COUNT(*) AS n FROM (SELECT {S.LETTERED_PROJECT} AS project_cd FROM claim) GROUP BY ALL"
+        ),
         "null_rejecting_filters": _claim(
             "SELECT bill_type_cd, carrier_cd, COUNT(*) AS n FROM claim"
             " WHERE bill_type_cd <> 'SP' AND trim(carrier_cd) <> 'CNEXC' GROUP BY 1, 2"

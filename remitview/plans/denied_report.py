@@ -51,6 +51,7 @@ from remitview.operators import crosswalk as X
 from remitview.operators.carriers import join_carriers
 from remitview.operators.preagg import denial_multiplicity
 from remitview.plans.headers import DENIED_COLUMNS
+from remitview.sources.layout import in_months
 from remitview.sources.tables import DENIED_ROLES
 
 DENIED_GROUP_KEYS = tuple(c for c in DENIED_COLUMNS if c != "actual_amount_recovered")
@@ -92,7 +93,8 @@ def default_carriers(tables: dict[str, DataFrame], cfg: ReportConfig) -> DataFra
 
 def month_claims(claim_b: DataFrame, program: str | None, lo: dt.date, hi: dt.date, cfg: ReportConfig) -> DataFrame:
     """The template's claims before the exclusion list, with the role's columns."""
-    return claim_b.where(denied_claim_filter(cfg, program, lo, hi)).select(*DENIED_ROLES["claim_b"])
+    cond = denied_claim_filter(cfg, program, lo, hi) & in_months("claim_b", claim_b, lo, hi)
+    return claim_b.where(cond).select(*DENIED_ROLES["claim_b"])
 
 
 def denied_claims(
@@ -166,7 +168,10 @@ def denied_rows(
         "n_denials",
     )
 
-    joined = claims.join(denials, ["__contract", "ar_seq"], "inner")
+    if cfg.colocated:  # both sides hold the contract's rows only
+        joined = claims.join(denials.drop("__contract"), "ar_seq", "inner")
+    else:
+        joined = claims.join(denials, ["__contract", "ar_seq"], "inner")
     return joined.withColumn("remit_amt", F.col("remit_amt") * F.col("n_denials")).drop("n_denials", "__contract")
 
 

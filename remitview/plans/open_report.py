@@ -37,6 +37,7 @@ from remitview.functions import derive as D
 from remitview.operators.carriers import join_carriers
 from remitview.operators.preagg import live_posting_totals
 from remitview.plans.headers import OPEN_COLUMNS
+from remitview.sources.layout import in_months
 
 OPEN_GROUP_KEYS = tuple(c for c in OPEN_COLUMNS if c != "amount_recovered")
 
@@ -64,7 +65,7 @@ def open_claim_filter(cfg: ReportConfig, program: str | None, lo, hi) -> Column:
         & D.one_of("delete_ind", (cfg.live_flag,), cfg)
         & D.one_of("contract_num", (cfg.contract_num,), cfg)
         # Lexical comparison on a text code: '9' >= '30' is true.
-        & (c("project_cd") >= F.lit(cfg.project_floor))
+        & D.at_least("project_cd", cfg.project_floor, cfg)
         & (D.text_key("bill_type_cd", cfg) != F.lit(cfg.excluded_bill_type))
         & c("rebill_dt").isNull()
         & D.not_equal_trimmed("carrier_cd", cfg.excluded_carrier)
@@ -76,7 +77,7 @@ def open_claim_filter(cfg: ReportConfig, program: str | None, lo, hi) -> Column:
 
 def month_claims(claim: DataFrame, program: str | None, lo, hi, cfg: ReportConfig, status: str | None) -> DataFrame:
     """The template's claims, whole rows."""
-    cond = open_claim_filter(cfg, program, lo, hi)
+    cond = open_claim_filter(cfg, program, lo, hi) & in_months("claim", claim, lo, hi)
     if status is not None:
         cond = cond & D.one_of("status_cd", status_codes_for(status, cfg), cfg)
     return claim.where(cond)

@@ -18,6 +18,10 @@ SQL_DEFAULTS = {
 }
 
 
+#: Where the histories are bucketed by their join keys, sums may keep that distribution.
+COLOCATED = {"spark.sql.requireAllClusterKeysForDistribution": "false"}
+
+
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, app: str = "remitview", driver_memory: str = "8g"
 ) -> SparkSession:

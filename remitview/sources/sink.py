@@ -1,6 +1,6 @@
 """Extract sinks (K1, K2).
 
-Two renderings of the quoted-comma extract:
+Three renderings of the quoted-comma extract:
 
 * ``csv`` -- Spark's CSV writer with every field quoted, embedded quotes
   doubled (a well-formed file; the original wrote a name holding a quote
@@ -13,15 +13,23 @@ Two renderings of the quoted-comma extract:
   union, so it is the first line of ``part-00000``; concatenating the part
   files in name order gives the original single file.
 
-Both writers are distributed: every task writes its own part file through
+* ``delivery`` -- the rows of ``csv`` in part files that are one extract when
+  joined in name order: the header once, in the first; the rows in the order of
+  their columns, cut into ranges; no file over ``rows_per_file`` rows.
+
+All writers are distributed: every task writes its own part file through
 Spark's commit protocol, so a lost executor only re-runs its tasks.
 ``single_file=True`` coalesces to one writer task for a one-file delivery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitview.functions.present import NULL_TEXT, quoted_line, timestamp_text
 from remitview.plans.headers import headers_for
@@ -42,6 +50,12 @@ CSV_OPTIONS = {
 }
 
 
+def _cell(df: DataFrame, c: str) -> Column:
+    # Timestamps as str(datetime) text: the writer's pattern would either drop
+    # fractional seconds or pad whole ones.
+    return timestamp_text(c) if dict(df.dtypes)[c].startswith("timestamp") else F.col(c)
+
+
 def header_line(headers) -> str:
     return '"' + '","'.join(headers) + '"'
 
@@ -57,10 +71,7 @@ def write_quoted_csv(
 ) -> None:
     """Escaped, fully quoted CSV with the report headers."""
     pairs = headers_for(template, program)
-    types = dict(df.dtypes)
-    # Timestamps as str(datetime) text: the writer's pattern would either drop
-    # fractional seconds or pad whole ones.
-    cells = [(timestamp_text(c) if types[c].startswith("timestamp") else F.col(c)).alias(h) for c, h in pairs]
+    cells = [_cell(df, c).alias(h) for c, h in pairs]
     out = df.select(*cells, *[F.col(p) for p in partition_by or []])
     if single_file:
         out = out.coalesce(1)
@@ -70,6 +81,41 @@ def write_quoted_csv(
     writer.csv(path)
 
 
+def write_delivery(
+    df: DataFrame,
+    path: str,
+    template: str,
+    program: str | None = None,
+    rows_per_file: int = 1_000_000,
+    mode: str = "overwrite",
+    observation: Observation | None = None,
+    metrics: tuple[Column, ...] = (),
+) -> None:
+    """CSV part files that are one ordered extract when joined in name order.
+
+    A report's rows differ in some column, so ranges over all columns cut any
+    hot value. The header is the only row of the union's first partition.
+    Rows are observed after the sort: a job that samples ranges counts none.
+    """
+    columns = [c for c, _ in headers_for(template, program)]
+    body = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    if observation is not None:
+        body = body.observe(observation, *metrics)
+    body = body.select(*[_cell(df, c).cast("string").alias(c) for c in columns])
+    head = df.sparkSession.range(1, numPartitions=1).select(*[F.lit(h).alias(c) for c, h in headers_for(template, program)])
+    options = {**CSV_OPTIONS, "header": "false", "maxRecordsPerFile": str(rows_per_file)}
+    head.unionByName(body).write.mode(mode).options(**options).csv(path)
+
+
+def read_delivery(spark: SparkSession, path: str, template: str, program: str | None = None) -> DataFrame:
+    """Rows of a delivery as text columns named by the headers."""
+    headers = [h for _, h in headers_for(template, program)]
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
+    rows = spark.read.schema(schema).options(**{**CSV_OPTIONS, "header": "false"}).csv(path)
+    is_header = reduce(and_, [F.col(f"`{h}`").eqNullSafe(F.lit(h)) for h in headers])
+    return rows.where(~is_header)
+
+
 def quoted_text(df: DataFrame, template: str, program: str | None = None) -> DataFrame:
     """Header line + one quoted line per row: ``value`` and ``is_body`` (0 for the header)."""
     pairs = headers_for(template, program)

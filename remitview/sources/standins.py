@@ -212,6 +212,13 @@ DENIAL_EXPRS = {
 }
 
 
+# Valid in Spark SQL and DuckDB.
+LETTERED_PROJECT = (
+    "CASE claim_id % 6 WHEN 0 THEN 'A' || project_cd WHEN 1 THEN project_cd || 'A'"
+    " WHEN 2 THEN 'b' || project_cd WHEN 3 THEN '-' || project_cd WHEN 4 THEN 'A' ELSE project_cd END"
+)
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -321,6 +328,11 @@ def all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return t
 
 
+def lettered_projects(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The OPEN roles with letters and signs in some project codes."""
+    return {**tables, "claim": tables["claim"].withColumn("project_cd", F.expr(LETTERED_PROJECT))}
+
+
 def padded_carriers(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The OPEN roles with blanks after some carrier codes: claims of odd ids, carriers of odd length names."""
     claim, carriers = tables["claim"], tables["carrier_a"]

@@ -74,6 +74,21 @@ def check_roles(tables: dict[str, DataFrame], roles: dict[str, tuple[str, ...]])
         raise ValueError(f"wrong types of report inputs: {'; '.join(wrong)}")
 
 
+def padded_columns(tables: dict[str, DataFrame]) -> frozenset[str]:
+    """Names of the columns that are CHAR in some role, for ``ReportConfig.padded_columns``.
+
+    The type comes from the table in the catalog; Spark reads a CHAR column padded to its length and
+    keeps the declared type beside the column. A name that is CHAR in one role and VARCHAR in another
+    (a join key, say) compares padded in both, as the source does.
+    """
+    return frozenset(
+        f.name
+        for df in tables.values()
+        for f in df.schema.fields
+        if f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", "").startswith("char")
+    )
+
+
 def load_tables(
     spark: SparkSession,
     locations: dict[str, str],

@@ -74,7 +74,7 @@ ACTION_XWALK = [
     ("K03  ", 2, "text three"),
     ("ab", 3, "text five"),
     ("AB", 4, "text six"),
-    ("K04", 5, "Member not eligible"),
+    ("K04", 5, "text of K04"),
     ("K04", 6, "Shadowed text"),
     ("", 7, "text eight"),
     ("XA", 8, "Half of a comma literal"),

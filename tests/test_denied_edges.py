@@ -100,7 +100,7 @@ def test_action_crosswalk_first_match_blank_padded(spark):
         ("text one", "ACTIONABLE"),
         ("text three", "FINAL"),
         ("text three", "FINAL"),
-        ("Member not eligible", None),
+        ("text of K04", None),
         ("text eight", None),
         ("text eight", None),
         "excluded",  # null action code: NOT IN rejects it
