@@ -1,0 +1,291 @@
+"""Merkle manifest, conversation repair and vector packing against brute force, with awkward rows."""
+
+import hashlib
+import os
+import random
+import sys
+import zlib
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from remitview.llm import conversation_repair as repair
+from remitview.llm import merkle_manifest as merkle
+from remitview.llm import vector_packing as vectors
+from remitview.llm.common import numbered
+from remitview.llm.queries import ORACLES, QUERIES
+from tests.harness import compare, duck_connection
+
+DOCS = "doc_id long, source string, lang string, n_chars long, text string, tree string, digest string, c string"
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row, text):
+    fields = (row[0], row[1], row[2], row[3], text)
+    return h("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in fields))
+
+
+def levels(leaves):
+    out = [leaves]
+    while len(out[-1]) > 1:
+        out.append([h("".join(out[-1][i : i + 8])) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def path(tree, i):
+    out = []
+    for level in tree[:-1]:
+        out.append((level[i // 8 * 8 : i // 8 * 8 + 8], i % 8))
+        i //= 8
+    return out
+
+
+def plain_manifest(rows):
+    trees = {}
+    for lang in sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode())):
+        of = sorted((r for r in rows if r[2] == lang), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[4])))
+        trees[lang] = (of, levels([leaf(r, r[4]) for r in of]))
+    top = levels([t[-1][0] for _, t in trees.values()])
+    out = []
+    for k, (of, tree) in enumerate(trees.values()):
+        for i, r in enumerate(of):
+            runs = path(tree, i) + path(top, k)
+            text = r[4]
+            if r[0] is not None and text is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0:
+                text = "".join(x.lower() if "A" <= x <= "Z" else x for x in text)
+            now = leaf(r, text)
+            for run, at in runs:
+                now = h("".join([*run[:at], now, *run[at + 1 :]]))
+            proof = h("".join(x for run, at in runs for j, x in enumerate(run) if j != at))
+            out.append((r[0], tree[0][i], tree[-1][0], top[-1][0], proof, now, now == top[-1][0]))
+    return out
+
+
+@pytest.mark.parametrize("height", [1, 4])
+def test_manifest(spark, monkeypatch, height):
+    monkeypatch.setattr(merkle, "BLOCK_HEIGHT", height)  # 1: several rounds, also over the languages
+    r = random.Random(height)
+    langs = [None, "", "é", "zh", *(f"l{i}" for i in range(11))]
+    rows = [(i * 7 if i % 50 else None, "s", "en" if i % 3 else r.choice(langs), i if i % 4 else None, r.choice([None, "", "Aé x", f"Text {i}", "Ü" * 40_000])) for i in range(300)]
+    rows += [(7, "s", "en", 1, "Text")] * 9
+    found = merkle.manifest(spark.createDataFrame([(*x, "clash", "clash", "clash") for x in rows], DOCS), merkle.damaged_every_third())
+    assert sorted(map(str, (tuple(x) for x in found.collect()))) == sorted(map(str, plain_manifest(rows)))
+
+
+def test_manifest_of_one_row_and_of_none(spark):
+    row = (3, None, None, None, None)
+    found = merkle.manifest(spark.createDataFrame([(*row, None, None, None)], DOCS)).collect()
+    assert [tuple(x) for x in found] == plain_manifest([row])
+    assert found[0].root == found[0].leaf and found[0].proof_sha256 == h("")
+    assert merkle.manifest(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_van_emde_boas_addresses():
+    for count in range(1, 6):
+        slots = [int(merkle.address(count, d, i)) for d in range(count) for i in range(8**d)]
+        assert sorted(slots) == list(range(merkle.tree_size(count)))
+    # a tree of four levels: its upper two, then 64 subtrees of two
+    assert merkle.address(4, 1, 7) == 8 and merkle.address(4, 2, 0) == 9 and merkle.address(4, 3, 0) == 10 and merkle.address(4, 2, 1) == 18
+
+
+def test_numbered(spark):
+    rows = [(i % 3 or None, "x" if i < 500 else str(i)) for i in range(900)]
+    found = numbered(spark.createDataFrame(rows, "k int, v string"), ["k"], ["v"], "t")
+    by = {}
+    for x in found.collect():
+        by.setdefault(x.k, []).append((x.pos, x.v, x.n))
+    for group in by.values():
+        assert [p for p, _, _ in sorted(group)] == list(range(300))
+        assert [v for _, v, _ in sorted(group)] == sorted(v for _, v, _ in group) and {n for _, _, n in group} == {300}
+
+
+def plain_repair(letters):
+    """Least (cost, audit) by tables over all edits, with up to four insertions anywhere."""
+    after = {0: ("u", 2), 1: ("u", 2), 2: ("a", 3), 3: ("u", 2)}
+
+    def inserted(ways):
+        for _ in range(4):
+            for s, (cost, audit) in list(ways.items()):
+                to = after[s][1]
+                ways[to] = min(ways.get(to, (cost + 2, audit + "I")), (cost + 2, audit + "I"))
+        return ways
+
+    ways = {0: (0, "")}
+    for x in letters:
+        new = {}
+        for s, (cost, audit) in inserted(ways).items():
+            edits = [(3, "D", s)]
+            if not x.isdigit():
+                more, role = int(x.isupper()), x.lower()
+                edits.append((2 + more, "R", after[s][1]))
+                if role == after[s][0]:
+                    edits.append((more, "K", after[s][1]))
+                if role == "s" and s == 0:
+                    edits.append((more, "K", 1))
+            for price, edit, to in edits:
+                new[to] = min(new.get(to, (cost + price, audit + edit)), (cost + price, audit + edit))
+        ways = new
+    ways = inserted(ways)
+    return min(ways[s] for s in (0, 3) if s in ways)
+
+
+def searched(letters, run):
+    parts = [letters[i : i + run] for i in range(0, len(letters), run)]
+    tables = [repair.run_table(p, tuple(range(4)) if k else (0,)) for k, p in enumerate(parts)]
+    cost, places = repair.choose([(t[0], t[1]) for t in tables])
+    return cost, "".join(t[2][p] for t, p in zip(tables, places, strict=True)) + repair.ENDING[places[-1] % 4]
+
+
+def test_search_finds_the_least_repair():
+    r = random.Random(1)
+    for _ in range(800):
+        letters = "".join(r.choices(r.choice(["suaxSUAX1234", "ua", "su", "sU1", "uuuuaS", "s1", "ssssua", "UA12"]), k=r.choice([1, 2, 3, 5, 8, 30])))
+        for run in (1, 3, 256):
+            assert searched(letters, run) == plain_repair(letters), letters
+
+
+def test_search_stays_small():
+    r = random.Random(2)
+    for letters in ["u" * 256, "a" * 256, "s" * 256, "".join(r.choices("suaxSUAX1234", k=256)), "".join(r.choices("sS", k=256))]:
+        for entry in range(4):
+            for end in range(4):
+                rows = []
+                repair.search(letters, entry, end, rows)
+                assert len(rows) < 300 * len(letters)
+
+
+def plain_repairs(rows):
+    """From (conv, role, text) in order to the digest columns, by plain loops."""
+    out, initials = {}, "sua"
+    for conv in {x[0] for x in rows}:
+        turns, seen, letters, faults = [x for x in rows if x[0] == conv], set(), "", []
+        for _, turn, role, text in turns:
+            body = text.rstrip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else None
+            seen.add((role, text))
+            x = role[:1] if role[:1] in initials and role else "x"
+            letters += {"blank": "9", "duplicate": "9", "truncated": x.upper(), None: x}[fault]
+            faults.append(fault)
+        cost, audit = plain_repair(letters)
+        lines, state, left = [], 0, iter(turns)
+        for edit in audit:
+            role, text = (None, "") if edit == "I" else next(left)[2:]
+            if edit == "D":
+                continue
+            if edit == "K" and role[0] == "s":
+                state = 1
+            else:
+                named, state = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}[state]
+                role = role if edit == "K" else named
+            lines.append(f"{role}:{text}")
+        known = [x[1] for x in turns if x[1] is not None]
+        pairs = zip(turns, turns[1:], strict=False)
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in pairs)
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        out[conv] = (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, h("\n".join(lines)))
+    return out
+
+
+def test_repair(spark, monkeypatch):
+    r = random.Random(3)
+    texts = ["Yes.", "No", " \n", "", "Why? ", "Well!", "x" * 30_000 + "."]
+    rows = []
+    for conv in [None, *range(25), 99]:
+        n = 700 if conv == 99 else r.randrange(1, 9)  # several runs
+        turns = [None] * (conv == 4) + sorted(r.sample(range(2 * n), n))
+        rows += [(conv, t, r.choice(["user", "assistant", "user", "system", "tool", "", " "]), r.choice(texts[:-1] if conv == 99 else texts) if r.random() < 0.3 else f"{conv} {t}.") for t in turns]
+    df = spark.createDataFrame([(*x, "clash", 1) for x in rows], "conv_id long, turn long, role string, text string, c string, pos int").repartition(5)
+    found = {x.conv_id: tuple(x)[1:] for x in repair.repair(df).collect()}
+    assert found == plain_repairs(rows)
+
+
+def test_damage(spark):
+    rows = [(i // 4, i % 4, "assistant" if i % 2 else "system", f"a.b!c?{i}") for i in range(400)] + [(None, None, None, None), (5, None, "user", None)]
+    expected = []
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else "".join(x for x in text if x not in ".!?") if kind == 2 else text
+        expected += [(conv, turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted(map(str, map(tuple, repair.damaged(df).collect()))) == sorted(map(str, expected))
+    found = repair.damaged_and_repaired(df).collect()
+    assert len(found) == 101
+    gone = {x[0] for x in rows} - {x[0] for x in expected}
+    assert all((x.cost, x.audit, x.repaired_sha256) == (0, "", h("")) for x in found if x.conv_id in gone)
+    assert repair.damaged_and_repaired(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("key", ["op11_conversation_repair", "op13_merkle_manifest"])
+def test_oracles(spark, key):
+    sf = "/root/testdata/sf0.001"
+    result = compare(spark, duck_connection(sf), key, QUERIES[key], ORACLES[key], sf)
+    assert result["ok"], result
+
+
+def exact_ids(text):
+    return vectors.words(vectors.VOCABULARY).tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_word_memory_gives_the_tokenizers_ids(monkeypatch):
+    monkeypatch.setattr(vectors, "REMEMBERED", 50)  # is emptied often
+    r = random.Random(4)
+    letters = [chr(c) for c in range(0x250)]
+    cases = [*letters, *("a" + c + "b " + c for c in letters), *("".join(r.choices([*letters, " ", "\n", "'", "s", "A"], k=40)) for _ in range(500))]
+    cases += ["<|startoftext|>x", "a<|endoftext|>", "ΟΔΟΣ Σ.", "漢字 かな", "é", "y" * 5000, "it's we'll", "a\x1cb"]
+    for text in cases:
+        assert np.frombuffer(vectors.token_bytes(text), "<u4").tolist() == exact_ids(text), repr(text)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_vector_packing(spark, rule):
+    r = random.Random(5)
+    word = "the of and stone letter green seven wander quickly north".split()
+    texts = [" ".join(r.choices(word, k=r.choice([1, 5, 20, 60, 150]))) for _ in range(400)] + [None, "", "   ", "漢字 " * 300, "x" * 5000, "De " * 900, "same", "same"]
+    rows = [(i, t, "clash", "clash") for i, t in enumerate(texts)] + [(None, "no id", None, None), (None, "no id", None, None), (3, texts[3], None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, piece string, sequence_id string").repartition(6)
+    capacity = (256, 12, 40_000)  # each of the three binds somewhere
+    with pytest.raises(Exception, match="attention capacity"):
+        vectors.pack(df, capacity, rule=rule).count()
+    capacity = (256, 12, 70_000)
+    found = vectors.pack(df, capacity, rule=rule).collect()
+    sequences, pieces = {}, {}
+    for x in found:
+        sequences.setdefault(x.sequence_id, []).append(x)
+        pieces.setdefault(x.doc_id, []).append(x)
+    for members in sequences.values():
+        at = 0
+        for x in sorted(members, key=lambda x: x.offset):
+            assert x.offset == at
+            at += x.length
+        assert at <= 256 and len(members) <= 12 and sum(x.length**2 for x in members) <= 70_000
+    for i, t in enumerate(texts):
+        ids = np.array([*exact_ids(t or ""), 1], "<u4")
+        copies = 2 if i == 3 else 1
+        expected = [(n, at, min(256, len(ids) - at), zlib.crc32(ids[at : at + 256].tobytes())) for n, at in enumerate(range(0, len(ids), 256))] * copies
+        assert sorted((x.piece, x.start, x.length, x.ids_crc32) for x in pieces[i]) == sorted(expected)
+    assert len(pieces[None]) == 2
+    total = sum(x.length for x in found)
+    assert len(sequences) <= 1.08 * max(total / 256, len(found) / 12)
+    assert vectors.pack(df.limit(0)).count() == 0
+
+
+def test_packer_respects_every_capacity_and_keeps_few_open(monkeypatch):
+    monkeypatch.setattr(vectors, "OPEN", 7)
+    packer, r, seen = vectors.Packer(0, (100, 4, 6_000)), random.Random(6), 0
+    for _ in range(20):
+        pieces = [(r.randrange(1, 70), i, 0, 0, 0) for i in range(50)]
+        packer.pack(pieces)
+        assert packer.room.shape[1] == len(packer.pieces) <= 7
+        seen += len(pieces)
+    packer.finish()
+    fills = {}
+    for _, _, _, length, _, sequence, _ in packer.out:
+        fills.setdefault(sequence, []).append(length)
+    assert sum(map(len, fills.values())) == seen
+    assert all(sum(f) <= 100 and len(f) <= 4 and sum(x * x for x in f) <= 6_000 for f in fills.values())
