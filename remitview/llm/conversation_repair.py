@@ -219,7 +219,10 @@ def _faults(placed: DataFrame) -> DataFrame:
 def _runs(light: DataFrame) -> DataFrame:
     """Runs of rows with their search tables: ``(c, run, letters, illegal, costs, ranks, audits)``."""
     letters = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "letter"))), lambda x: x["letter"]), "")
-    runs = light.groupBy("c", F.expr(f"pos div {RUN}").alias("run")).agg(letters.alias("letters"))
+    # letters are few bytes and long work: as many tasks as the session's shuffles have, however small
+    tasks = int(light.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = light.select("c", F.expr(f"pos div {RUN}").alias("run"), "pos", "letter").repartition(tasks, "c", "run")
+    runs = rows.groupBy("c", "run").agg(letters.alias("letters"))
 
     def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

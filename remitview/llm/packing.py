@@ -3,7 +3,7 @@
 Each task packs the documents of its own partition online, so nothing is shuffled and a lost task is
 packed again from its input split to the same rows. ``levels[h]`` counts the open windows filled to
 ``h``; a piece goes to the level (or a new window) that makes the sum of squared counts smallest.
-Windows still open at the end, or when too many are open, are strung together and cut anew; the last
+When too many windows are open, and at the end, the fullest are filled up from the emptiest; the last
 bit of a partition is cut at powers of two, which need no padding.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import zlib
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from remitview.llm.common import map_arrow
 
 WINDOW = 1024
-#: Open windows a task holds at most before it cuts them anew (4 bytes a token: 16 MB).
+#: Open windows a task holds at most before it fills them up (4 bytes a token: 16 MB).
 MAX_OPEN = 4096
 END_ID = 0
 VOCABULARY = "byte_bpe_50k"
@@ -71,6 +71,7 @@ class Packer:
         self.levels = np.zeros(window + 1, np.int64)  # the last one, full windows, stays zero
         self.open: dict[int, list[list]] = defaultdict(list)  # windows by fill
         self.out: list[tuple] = []
+        self.moved = 0
 
     def _emit(self, pieces: list) -> None:
         at = 0
@@ -109,26 +110,50 @@ class Packer:
             self._place((doc, whole, ids[whole:], len(ids)))
 
     def flush(self, last: bool = True) -> None:
-        """String the open windows together, fullest first, and cut full windows from them."""
-        pieces = [p for fill in sorted(self.open, reverse=True) for w in self.open[fill] for p in w]
+        """Fill the open windows up, the fullest first, with the pieces of the emptiest.
+
+        A window keeps its pieces and its place in front; only the emptiest are taken apart, as many
+        as there is room to fill (``moved`` counts their tokens). What is left over is one window: it
+        stays open, or at the end is cut at powers of two.
+        """
+        windows = deque(w for fill in sorted(self.open) for w in self.open[fill])
         self.open.clear()
         self.levels[:] = 0
+        spare: deque[tuple] = deque()
+        while windows or spare:
+            row = list(windows.pop()) if windows else []
+            room = self.window - sum(len(p[2]) for p in row)
+            while room and (spare or windows):
+                if not spare:
+                    spare.extend(windows.popleft())
+                doc, start, ids, total = spare.popleft()
+                take = ids[:room]
+                row.append((doc, start, take, total))
+                room -= len(take)
+                self.moved += len(take)
+                if len(take) < len(ids):
+                    spare.appendleft((doc, start + len(take), ids[len(take) :], total))
+            if not room:
+                self._emit(row)
+            elif last:
+                self._close(row)
+            else:
+                self.open[self.window - room].append(row)
+                self.levels[self.window - room] = 1
+
+    def _close(self, pieces: list[tuple]) -> None:
+        """Emit pieces in sequences of falling powers of two, which need no padding."""
         left = sum(len(p[2]) for p in pieces)
-        row, room = [], self.window
+        row, room = [], 0
         for doc, start, ids, total in pieces:
             while len(ids):
-                if not row:  # at the end, powers of two
-                    room = self.window if left >= self.window or not last else 1 << (left.bit_length() - 1)
+                room = room or 1 << (left.bit_length() - 1)
                 take = ids[:room]
                 row.append((doc, start, take, total))
                 ids, start, room, left = ids[len(take) :], start + len(take), room - len(take), left - len(take)
                 if not room:
                     self._emit(row)
                     row = []
-        if row:  # not the last flush: one window stays open
-            fill = sum(len(p[2]) for p in row)
-            self.open[fill].append(row)
-            self.levels[fill] = 1
 
     def rows(self) -> list[tuple]:
         out, self.out = self.out, []

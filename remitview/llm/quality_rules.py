@@ -100,8 +100,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     """Fit on the rows of ``docs`` that ``labels`` marks 0 or 1.
 
     All labelled rows are counted; if there are over ``rows``, a share is drawn by the hash of the
-    id. Ids that are null, unlabelled or labelled both ways don't teach. With labels of one class, or
-    none, the ensemble has no rules and scores the (smoothed) share of label 1.
+    id. Ids that are null, unlabelled or labelled both ways don't teach; every row of a labelled id
+    does, repeated rows too. With labels of one class, or none (an empty table, say), the ensemble has
+    no rules and scores the (smoothed) share of label 1. The same rows give the same ensemble in any
+    partitioning.
     """
     own = labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__label")).where("__id is not null and __label in (0, 1)")
     own = own.groupBy("__id").agg(F.min("__label").alias("__label"), F.max("__label").alias("__other")).where("__label = __other").drop("__other")
@@ -115,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     train = docs.select(F.col(id_col).cast("long").alias("__id"), "text").join(F.broadcast(own), "__id")
     stats_rows, stats = statistics(train)
     table = materialise(stats_rows.select("__id", F.col("__label").cast("double").alias("label"), *stats), "quality-train")
-    table = table.orderBy("__id", *stats).coalesce(2).withColumn("features", array_to_vector(F.array(*stats))).cache()
+    # bagging and sums follow the order of rows: at most about ``rows`` of them, in one partition and in
+    # one order, give one model however the table is laid out
+    table = table.repartition(1).sortWithinPartitions("__id", *stats).withColumn("features", array_to_vector(F.array(*stats))).cache()
     try:
         if table.select("label").distinct().count() < 2:
             return plain
@@ -137,6 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
 
 def score(docs: DataFrame, model: RuleEnsemble, into: str = "score", text_col: str = "text") -> DataFrame:
     """``docs`` with the ensemble's probability of label 1 in column ``into``. Every row gets one:
-    null and empty texts by the statistics of an empty text."""
+    null and empty texts by the statistics of an empty text, repeated rows the same score. An empty
+    table gives an empty result."""
     rows, stats = statistics(docs, text_col)
     return rows.withColumn(into, model.score(stats)).drop(*stats)

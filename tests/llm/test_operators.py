@@ -367,12 +367,13 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     for name, stage in corpus_pipeline.STAGES[1:-1]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns, name
-        assert out.where("doc_id is null").count() == 1 and out.where("doc_id = 0").count() == 1
+        # the row without an id is a copy of document 0: one of a component stays, the one with an id
+        assert out.where("doc_id is null").count() == (name != "simhash_near_dedup") and out.where("doc_id = 0").count() == 1
 
 
 def test_near_duplicates_keeps_one_row_of_each_component(spark, tmp_path):
     a, b, c = (sentence(random.Random(x), 40) for x in (1, 2, 3))
     rows = [(3, a), (7, a), (7, b), (9, b), (5, c), (5, c), (5, c), (None, c), (None, c), (None, "only " + b[::-1]), (None, "only " + b[::-1]), (20, None), (21, " ")]
     out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
-    expected = [(3, a), (7, b), (5, c), (None, c), (None, "only " + b[::-1]), (20, None)]
+    expected = [(3, a), (7, b), (5, c), (None, "only " + b[::-1]), (20, None)]
     assert sorted(map(tuple, out.collect()), key=str) == sorted(expected, key=str)
