@@ -141,10 +141,13 @@ def test_edit_distance():
 
 def test_lines(docs, empty, texts):
     lines = [(i, n, line_dedup.normal(x)) for i, t in enumerate(texts) for n, x in enumerate((t or "").encode().split(b"\n"))]
-    lines = [x for x in lines if len(x[2]) >= line_dedup.MIN_WORDS]
-    fp = line_dedup.line_fingerprints([x[2] for x in lines])
+    lines = [x for x in lines if x[2]]
+    laid = line_dedup.Lines([x[2] for x in lines])
+    fp, blocks = laid.fingerprints(), [set(x.tolist()) for x in laid.windows()]
     text = [b" ".join(x[2]).decode() for x in lines]
-    same = lambda i, j: text[i] == text[j] or (int(fp[i] ^ fp[j]).bit_count() <= 3 and line_dedup.similar(text[i], text[j]))
+    near = lambda i, j: int(fp[i] ^ fp[j]).bit_count() <= line_dedup.BUDGET
+    cluster = groups(len(lines), lambda i, j: fp[i] == fp[j] or bool(blocks[i] & blocks[j]) and near(i, j))
+    same = lambda i, j: text[i] == text[j] or (cluster[i] == cluster[j] and near(i, j) and line_dedup.similar(text[i], text[j]))
     expected = {}
     for (i, n, _), (at, root) in zip(lines, enumerate(groups(len(lines), same)), strict=True):
         if at != root:
