@@ -15,21 +15,18 @@ from pyspark.sql import functions as F
 from remitview.llm.common import map_arrow
 
 #: Bytes of dictionary for a language, and for all languages together: more than
-#: ``ALL_DICTIONARIES / DICTIONARY`` languages share the whole evenly.
+#: ``ALL_DICTIONARIES / DICTIONARY`` languages share the whole evenly, however many they are.
 DICTIONARY = 128 * 1024
 ALL_DICTIONARIES = 8 * 1024 * 1024
-#: The most frequent languages are learned, no more than would leave each 2 KB of dictionary.
-MAX_LANGUAGES = ALL_DICTIONARIES // 2048
-#: Characters that a training text gives to a dictionary at most, and the candidate texts of a language.
-SAMPLE_CHARS = 1000
-SAMPLE_TEXTS = 300
+#: Bounds on labelled rows: characters of the slice that a training text gives, at a place chosen by
+#: its hash, and characters drawn for each byte of dictionary.
+SLICE, DRAWN = 1000, 4
 #: Whole texts are compressed in blocks of this many bytes, so that the dictionary serves every block.
 BLOCK = 8 * 1024
-LEVEL = 3
-#: Texts below this many bytes are compressed at a level that also finds three-byte matches.
-SHORT, SHORT_LEVEL = 1024, 19
-#: One size in whole bytes often ties for texts below this many bytes; theirs is a sum over rotations by words.
-TINY, ROTATIONS = 256, 6
+#: Compression levels: one for the sizes, one to part languages of equal size.
+LEVEL, TIE_LEVEL = 6, 12
+#: Sizes are whole bytes: a text is turned round by words until at least this many bytes are measured.
+MEASURED = 1024
 #: A verdict is accepted if the second language needs this share more bytes.
 MIN_MARGIN = 0.01
 UNKNOWN = "und"
@@ -46,25 +43,27 @@ def normal(text: str) -> str:
 def learn(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Raw-content dictionaries from the rows of ``train`` that have a language and a letter.
 
-    Counts by language come from all rows; ``MAX_LANGUAGES`` of them are small enough to broadcast. The texts are a sample by the hash of their id and text,
-    of at most about ``2 * SAMPLE_TEXTS`` rows a language and ``SAMPLE_CHARS`` characters each, so
-    what reaches the driver is bounded for each language by parameters.
+    Every language is learned. Counts by language come from all rows; a share of a language's rows is
+    drawn by the hash of their id and text (equal rows count once), and a row gives a slice whose
+    place in the text follows from that hash, so all parts of texts teach alike. The slices drawn hold
+    about ``DRAWN`` characters for each byte of dictionary: the driver gets 32 MB or so, one row a
+    language at least. Without rows (an empty table) nothing is learned.
     """
-    rows = train.select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("id")
-    ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = (
-        rows.join(F.broadcast(counts), "lang")
-        .withColumn("draw", draw)
-        .where(F.col("draw") * F.col("n") < 2 * SAMPLE_TEXTS)
-        .select("lang", "draw", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    )
-    found: dict[str, list[tuple[float, str]]] = {}
+    rows = train.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("id"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("id", "text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least"))
+    languages = counts.count()
+    each = min(DICTIONARY, max(1, ALL_DICTIONARIES // max(1, languages)))
+    slice_ = min(SLICE, each)
+    share = F.lit(DRAWN * each / slice_) / F.col("n")
+    draw = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.select("lang", "hash").join(counts, "lang").where((draw < share) | (F.col("hash") == F.col("least"))).select("lang", "hash").distinct()
+    # about DRAWN * ALL_DICTIONARIES / SLICE rows and one a language
+    start = F.pmod(F.xxhash64("hash"), F.greatest(F.length("text") - F.lit(slice_ - 1), F.lit(1))).cast("int") + 1
+    sample = rows.join(F.broadcast(drawn), ["lang", "hash"]).select("lang", "hash", F.substr("text", start, F.lit(slice_)).alias("text")).dropDuplicates(["lang", "hash"])
+    found: dict[str, list[tuple[int, str]]] = {}
     for lang, at, text in sample.collect():
         found.setdefault(lang, []).append((at, text))
-    each = min(DICTIONARY, ALL_DICTIONARIES // max(1, len(found)))
     return {lang: " ".join(normal(t) for _, t in sorted(found[lang])).encode()[:each] for lang in sorted(found)}
 
 
@@ -76,7 +75,7 @@ def _compressors(dictionaries: tuple[bytes, ...]) -> dict[int, list]:
     key = hashlib.sha1(b"\0".join(dictionaries)).digest()
     if key not in _ready:
         _ready.clear()
-        for level in (LEVEL, SHORT_LEVEL):
+        for level in (LEVEL, TIE_LEVEL):
             tools = _ready.setdefault(key, {}).setdefault(level, [])
             for x in dictionaries:
                 d = zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -85,26 +84,33 @@ def _compressors(dictionaries: tuple[bytes, ...]) -> dict[int, list]:
     return _ready[key]
 
 
-def sizes(text: str, by_level: dict[int, list]) -> np.ndarray:
-    """Bytes that the whole text takes with each dictionary."""
-    text = normal(text)
-    data = text.encode()
-    if len(data) < SHORT:
-        words, n = text.split(" "), ROTATIONS if len(data) < TINY else 1
-        turns = {len(words) * i // n for i in range(n)}
-        tools, blocks = by_level[SHORT_LEVEL], [" ".join(words[i:] + words[:i]).encode() for i in turns]
-    else:
-        tools, blocks = by_level[LEVEL], [data[at : at + BLOCK] for at in range(0, len(data), BLOCK)]
-    return np.array([sum(len(tool.compress(x)) for x in blocks) for tool in tools])
+def blocks(text: str) -> list[bytes]:
+    """What is compressed for a normalised text: its blocks; of a text under ``MEASURED`` bytes so many
+    turns, each beginning with a later word, that they come to ``MEASURED`` (or one for each word)."""
+    data, words = text.encode(), text.split(" ")
+    turns = min(len(words), -(-MEASURED // max(1, len(data))))
+    if turns > 1:
+        firsts = [len(words) * i // turns for i in range(turns)]
+        return [" ".join(words[i:] + words[:i]).encode() for i in firsts]
+    return [data[at : at + BLOCK] for at in range(0, len(data), BLOCK)]
+
+
+def sizes(text: str, tools: list) -> np.ndarray:
+    """Bytes that the whole text takes with each dictionary, over its blocks or turns."""
+    parts = blocks(normal(text))
+    return np.array([sum(len(tool.compress(x)) for x in parts) for tool in tools])
 
 
 def classify(text: str | None, languages: tuple[str, ...], by_level: dict[int, list]) -> tuple[str, float, float, bool]:
-    """(language, score, margin, accepted); equal sizes go to the first name in order."""
+    """(language, score, margin, accepted). Of equally small languages the whole text's sizes at the
+    other level decide, and of those equal there the first name in order."""
     if not text or not languages or not _LETTER.search(text):
         return UNKNOWN, 0.0, 0.0, False
-    size = sizes(text, by_level)
-    if (size == size.min()).sum() > 1:  # a tie: the sizes at the other level decide, then the name
-        size = size + np.array([len(x.compress(normal(text).encode()[:BLOCK])) for x in by_level[LEVEL]]) / (4 * BLOCK)
+    size = sizes(text, by_level[LEVEL]).astype(float)
+    tied = size == size.min()
+    if tied.sum() > 1:
+        other = sizes(text, by_level[TIE_LEVEL])
+        size[tied] += other[tied] / (other[tied].max() + 1.0) / 2
     order = np.argsort(size, kind="stable")
     best = size[order[0]]
     margin = float(size[order[1]] / best - 1) if len(order) > 1 else 1.0
@@ -118,7 +124,8 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
     ``lang_pred`` is the language that compresses the whole text best; a text that is null or has no
     letter, and any text where nothing was learned, is ``und`` with score 0. ``accepted`` is false
     where the margin is narrow: rejected verdicts keep their language and low score for the caller
-    to drop. Repeated rows and null ids come back as they came.
+    to drop. Repeated rows and null ids come back as they came, and an empty table gives none; ties
+    are as in ``classify``.
     """
     languages, raw = tuple(dictionaries), docs.sparkSession.sparkContext.broadcast(tuple(dictionaries.values()))
 
