@@ -288,7 +288,7 @@ def test_outliers(spark, docs, empty, texts):
             covered |= {i + j for i in at for j in range(5)} if len(at) > 1 else set()
         assert (x.n_words, x.n_repeat_words) == (len(words), len(covered))
         assert x.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
-        assert x.kept == (not x.base_failed)  # under MIN_GROUP rows
+        assert x.kept == (not x.base_failed)  # few rows: the spread is mostly that of documents in general
     assert mcd_outliers.outliers(empty).count() == 0
     r = random.Random(8)
     rows = [(i, sentence(r, r.randrange(50, 200)), "en", "s") for i in range(300)] + [(1000, "### $$$ " * 3 + "# ".join(sentence(r, 60).split()), "en", "s"), (1001, sentence(r, 90), None, None)]
