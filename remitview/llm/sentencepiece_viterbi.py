@@ -5,6 +5,10 @@ last boundaries only, as many as the longest piece has characters: no piece reac
 Where the backpointer paths of all of them run through one boundary, everything before it is decided
 and its ids are committed, so memory doesn't grow with the text. The segmentation is the one with
 the highest sum of piece scores (equal sums: the longer last piece).
+
+If no piece of the vocabulary goes on from the end of a word into what follows, all paths run through
+that end, and the window commits there. A word that a worker has seen between two such commits has
+the ids it had before; every other one goes through the window, whatever its length.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ SPACE = "▁"
 #: A character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Stretches that are remembered with their ids in a worker (twice as many at most: some 150 MB), and
-#: the longest such stretch.
+#: the longest that is kept.
 REMEMBERED, REMEMBERED_LENGTH = 250_000, 48
 
 #: Spaces with the letters, or with the other characters, after them.
@@ -83,44 +87,58 @@ class StreamingViterbi:
         self.best, self.back, self.ids = [0.0], [0], [None]  # by boundary, from there
         self.at = 0  # boundaries before it have been extended
         self.done = 0  # characters committed
-        self.widest = 1
+        self.widest, self.commits = 1, 0
 
-    def feed(self, text: str) -> Iterator[int]:
+    def feed(self, text: str) -> list[int]:
         self.text += text
-        yield from self._run(len(self.text) - self.model.longest + 1)
-
-    def finish(self) -> Iterator[int]:
-        yield from self._run(len(self.text))
-        yield from self._path(len(self.text))
-
-    def _run(self, end: int) -> Iterator[int]:
+        return self._run(len(self.text) - self.model.longest + 1)
+
+    def finish(self) -> list[int]:
+        out = self._run(len(self.text))
+        return out + self._path(len(self.text))
+
+    def stretch(self, text: str) -> list[int]:
+        """Feed a text that ends where all paths meet: what it decides, its end included."""
+        out = self.feed(text) + self.finish()
+        self.done += len(self.text)
+        self.text, self.at = "", 0
+        self.best, self.back, self.ids = [0.0], [0], [None]
+        self.commits += 1
+        return out
+
+    def _run(self, end: int) -> list[int]:
         """Extend all boundaries before ``end``: those whose longest piece is all there."""
-        score, heads, longest = self.model.score, self.model.heads, self.model.longest
+        score, heads, longest, unknown = self.model.score, self.model.heads, self.model.longest, self.model.unknown_score
+        out: list[int] = []
         end += self.done
         while self.done + self.at < end:
-            i, text, n = self.at, self.text, len(self.text)
-            best, back, ids = self.best, self.back, self.ids
-            grow = min(n, i + longest) + 1 - len(best)
+            # up to where the next commit is tried
+            text, n, best, back, ids = self.text, len(self.text), self.best, self.back, self.ids
+            upto = min(end - self.done, max(4 * longest, (self.at // longest + 1) * longest))
+            grow = min(n, upto - 1 + longest) + 1 - len(best)
             if grow > 0:
                 best += [-np.inf] * grow
                 back += [0] * grow
                 ids += [None] * grow
-            base = best[i]
-            for j in range(i + 1, min(n, i + longest) + 1):
-                part = text[i:j]
-                if part not in heads:
-                    break
-                found = score.get(part)
-                if found is not None and base + found[0] > best[j]:
-                    best[j], back[j], ids[j] = base + found[0], i, found[1]
-            if text[i] not in score and base + self.model.unknown_score > best[i + 1]:
-                best[i + 1], back[i + 1], ids[i + 1] = base + self.model.unknown_score, i, None
-            self.at += 1
-            if self.at >= 4 * longest and self.at % longest == 0:
-                yield from self._commit()
-        self.widest = max(self.widest, len(self.best))
-
-    def _commit(self) -> Iterator[int]:
+            for i in range(self.at, upto):
+                base = best[i]
+                for j in range(i + 1, min(n, i + longest) + 1):
+                    part = text[i:j]
+                    found = score.get(part)
+                    if found is None:
+                        if part not in heads:
+                            break
+                    elif base + found[0] > best[j]:
+                        best[j], back[j], ids[j] = base + found[0], i, found[1]
+                if base + unknown > best[i + 1] and text[i] not in score:
+                    best[i + 1], back[i + 1], ids[i + 1] = base + unknown, i, None
+            self.at = upto
+            self.widest = max(self.widest, len(best))
+            if upto >= 4 * longest and upto % longest == 0:
+                out += self._commit()
+        return out
+
+    def _commit(self) -> list[int]:
         """Follow the paths of all live boundaries back; if they meet, commit what lies before."""
         live = {i for i in range(max(0, self.at - self.model.longest), min(len(self.best), self.at + self.model.longest)) if self.best[i] > -np.inf}
         while len(live) > 1:
@@ -128,66 +146,44 @@ class StreamingViterbi:
             live.remove(last)
             live.add(self.back[last])
         meet = live.pop()
+        out = self._path(meet)
         if meet:
-            yield from self._path(meet)
+            self.commits += 1
             self.text = self.text[meet:]
-            self.widest = max(self.widest, len(self.best))
             base = self.best[meet]
             self.best, self.ids = [x - base for x in self.best[meet:]], self.ids[meet:]
             self.back = [max(0, b - meet) for b in self.back[meet:]]
             self.at -= meet
             self.done += meet
+        return out
 
-    def _path(self, to: int) -> Iterator[int]:
+    def _path(self, to: int) -> list[int]:
+        """Ids of the best path to a boundary."""
         out = []
         while to:
             from_ = self.back[to]
-            out.append(self.model.unknown(self.text[from_:to]) if self.ids[to] is None else [self.ids[to]])
+            out.append((self.ids[to],) if self.ids[to] is not None else self.model.unknown(self.text[from_:to]))
             to = from_
-        for ids in reversed(out):
-            yield from ids
-
-
-def short(text: str, model: Pieces) -> list[int]:
-    """The same search over a text that fits one window, which has nothing to commit before its end."""
-    n, score, longest, unknown = len(text), model.score, model.longest, model.unknown_score
-    best, back, ids = [0.0] + [-np.inf] * n, [0] * (n + 1), [None] * (n + 1)
-    for i in range(n):
-        base = best[i]
-        for j in range(i + 1, min(n, i + longest) + 1):
-            part = text[i:j]
-            found = score.get(part)
-            if found is None:
-                if part not in model.heads:
-                    break
-            elif base + found[0] > best[j]:
-                best[j], back[j], ids[j] = base + found[0], i, found[1]
-        if base + unknown > best[i + 1] and text[i] not in score:
-            best[i + 1], back[i + 1], ids[i + 1] = base + unknown, i, None
-    out = []
-    while n:
-        from_ = back[n]
-        out.append((ids[n],) if ids[n] is not None else model.unknown(text[from_:n]))
-        n = from_
-    return [i for x in reversed(out) for i in x]
+        return [i for ids in reversed(out) for i in ids]
 
 
 class Memory(dict):
-    """Ids by stretch. When it is full, what was in use lately is kept and the rest forgotten."""
+    """Ids by stretch, from the window that all stretches go through. When it is full, what was in use
+    lately is kept and the rest forgotten."""
 
     def __init__(self, model: Pieces):
         super().__init__()
-        self.model, self.older = model, {}
+        self.model, self.older, self.window = model, {}, StreamingViterbi(model)
 
-    def __missing__(self, stretch: str) -> tuple[int, ...] | list[int]:
-        if len(stretch) > REMEMBERED_LENGTH:
-            search = StreamingViterbi(self.model)
-            return [*search.feed(stretch), *search.finish()]
+    def __missing__(self, stretch: str) -> tuple[int, ...]:
         ids = self.older.get(stretch)
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        ids = self[stretch] = tuple(short(stretch, self.model)) if ids is None else ids
+        if ids is None:
+            ids = tuple(self.window.stretch(stretch))
+        if len(stretch) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[stretch] = ids
         return ids
 
 
@@ -198,8 +194,7 @@ def encode(text: str | None, memory: Memory) -> list[int]:
     model = memory.model
     escaped = (SPACE if model.prefix else "") + text.replace(" ", SPACE)
     if not model.splits:
-        search = StreamingViterbi(model)
-        return [*search.feed(escaped), *search.finish()]
+        return memory.window.stretch(escaped)
     return list(chain.from_iterable(map(memory.__getitem__, _STRETCH.findall(escaped))))
 
 

@@ -1,17 +1,18 @@
-"""SimHash near-duplicates: fingerprints joined with themselves by a binary trie.
-
-Nodes of the trie over the distinct fingerprints are traversed in pairs: a pair holds the bits that
-differ so far, and is dropped once they exceed the budget. The top ``depth`` levels are dealt out by
-Spark (one group per pair of subtrees within the budget); each group walks the rest of its pair
-level by level over sorted arrays. ``depth`` follows the count of fingerprints, and a subtree that
-holds more than ``SUBTREE`` of them is cut into parts whose pairs are groups of their own, so a
-group is bounded whatever the skew.
+"""SimHash near-duplicates: fingerprints joined with themselves by binary tries.
+
+Nodes of a trie over the distinct fingerprints are traversed in pairs: a pair holds the bits that
+differ so far, and is dropped once they exceed the budget. Fingerprints within ``budget`` bits agree
+wholly in one of ``budget + 1`` stretches of their bits. So there is a trie for each stretch, over the
+fingerprints turned to begin with it, and its top ``depth`` levels, which lie inside the stretch, need
+no mixed pairs: Spark deals them out by equal prefixes, one copy of a fingerprint a trie. Each group
+walks the rest of its subtree level by level over sorted arrays. ``depth`` follows the count of
+fingerprints, and a subtree that holds more than ``SUBTREE`` of them is cut into parts whose pairs are
+groups of their own, so a group is bounded whatever the skew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 from math import ceil, log2
 
 import numpy as np
@@ -25,7 +26,6 @@ from remitview.llm.common import connected_components, group_labels, map_arrow,
 SEED = 42
 #: Fingerprints of a subtree, or part of one, that a group takes from either side.
 SUBTREE = 8192
-MAX_DEPTH = 16
 #: Words hashed at a time, and node pairs walked at a time.
 BLOCK = 1 << 16
 FRONTIER = 1 << 18
@@ -99,42 +99,33 @@ def links(fps: DataFrame, budget: int, count: int | None = None) -> DataFrame:
     pairs within ``budget`` bits connects. No group emits more rows than it has fingerprints."""
     ship(fps.sparkSession)
     n = fps.count() if count is None else count
-    depth = min(MAX_DEPTH, max(1, ceil(log2(max(1, n) / (SUBTREE / 2)))))
-    masks = [sum(1 << i for i in bits) for k in range(min(budget, depth) + 1) for bits in combinations(range(depth), k)]
-    prefix = F.shiftrightunsigned("fp", 64 - depth)
-    nodes = fps.groupBy(prefix.alias("p")).agg(F.ceil(F.count("*") / F.lit(SUBTREE)).cast("int").alias("parts"))
-    other = nodes.select(F.col("p").alias("q"), F.col("parts").alias("q_parts"))
-    pairs = (
-        nodes.withColumn("q", F.explode(F.transform(F.array(*map(F.lit, masks)), lambda m: m.cast("long").bitwiseXOR(F.col("p")))))
-        .join(other, "q")
-        .select("p", "parts", "q", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"))
-    )
-    placed = (
-        fps.select("fp", prefix.alias("p"))
-        .join(pairs, "p")
-        .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-        .select("fp", F.struct("p", "part").alias("x"), F.struct(F.col("q").alias("p"), F.col("q_part").alias("part")).alias("y"))
-        .select("fp", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), (F.col("x") > F.col("y")).alias("right"))
-    )
-    keys = {"xp": "x.p", "xc": "x.part", "yp": "y.p", "yc": "y.part"}
-    placed = placed.select(*(F.col(v).cast("long").alias(k) for k, v in keys.items()), "fp", "right")
-    shift = np.uint64(64 - depth)
+    stretch = 64 // (budget + 1)
+    turns = [i * stretch for i in range(budget + 1)]
+    depth = min(stretch, max(1, ceil(log2(max(1, n) / (SUBTREE / 2)))))
+    turned = [F.shiftleft("fp", t).bitwiseOR(F.shiftrightunsigned("fp", 64 - t)) if t else F.col("fp") for t in turns]
+    rows = fps.select(F.posexplode(F.array(*turned)).alias("trie", "bits"))
+    rows = rows.select("trie", F.shiftrightunsigned("bits", 64 - depth).alias("p"), "bits")
+    # only subtrees of several parts are joined: few, unless most fingerprints are in them
+    large = rows.groupBy("trie", "p").agg(F.ceil(F.count("*") / F.lit(SUBTREE)).cast("int").alias("parts")).where("parts > 1")
+    placed = rows.join(large, ["trie", "p"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("bits"), F.col("parts")).cast("int"))
+    placed = placed.select("trie", "p", "bits", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    placed = placed.select("trie", "p", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "bits", (F.col("part") > F.col("other")).alias("right"))
 
     def task(group: pa.Table) -> pa.Table:
-        fp, right = group.column("fp").to_numpy().view("<u8"), group.column("right").to_numpy(zero_copy_only=False)
-        own = (group.column("xp")[0], group.column("xc")[0]) == (group.column("yp")[0], group.column("yc")[0])
-        a, b = np.sort(fp[~right]), np.sort(fp if own else fp[right])
-        if own:
-            a = b
-        if not len(a) or not len(b):
+        bits, right = group.column("bits").to_numpy().view("<u8"), group.column("right").to_numpy(zero_copy_only=False)
+        own, turn = group.column("x")[0] == group.column("y")[0], turns[group.column("trie")[0].as_py()]
+        a, b = np.sort(bits[~right]), np.sort(bits[right])
+        if not len(a) or not (own or len(b)):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        differ = int(np.bitwise_count((a[0] ^ b[0]) >> shift))
-        labels = _walk(a, b, own, depth, differ, budget)
+        labels = _walk(a, a if own else b, own, depth, 0, budget)
         every = a if own else np.concatenate([a, b])
+        if turn:
+            every = (every >> np.uint64(turn)) | (every << np.uint64(64 - turn))
         found = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"a": every[found].view("<i8"), "b": every[labels[found]].view("<i8")})
 
-    return placed.groupBy(*keys).applyInArrow(task, "a long, b long")
+    return placed.groupBy("trie", "p", "x", "y").applyInArrow(task, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
