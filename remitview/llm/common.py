@@ -38,7 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back. The table survives lost
-    executors and cuts the lineage; the folder's owner clears it."""
+    executors and cuts the lineage. It can't be removed here: results that are still to be computed
+    read it, so the folder's owner clears ``remitview-llm`` when a job's results are written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/remitview-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
@@ -111,10 +112,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches."""
+    """``mapInArrow`` with small batches. Spark reads the batch sizes when the job runs, long after this
+    returns, so they are settings of the session and stay: they bound other Arrow batches too."""
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
+    for name, value in (("maxRecordsPerBatch", str(ROWS_PER_BATCH)), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        if df.sparkSession.conf.get(f"spark.sql.execution.arrow.{name}", None) != value:
+            df.sparkSession.conf.set(f"spark.sql.execution.arrow.{name}", value)
     return df.mapInArrow(fn, schema)
 
 

@@ -210,6 +210,10 @@ def _drawn(own: DataFrame, wider: DataFrame | None) -> DataFrame:
     )
 
 
+def base_failed() -> Column:
+    return F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
+
+
 def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"), tail: float = TAIL) -> DataFrame:
     """Every row's counts, ``base_failed``, ``distance`` (squared Mahalanobis) and ``kept``.
 
@@ -222,7 +226,7 @@ def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     came; an empty table gives an empty result.
     """
     keys = [f"g{i}" for i in range(len(group_cols))]
-    counts = base_statistics(docs, id_col, text_col, group_cols).withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
+    counts = base_statistics(docs, id_col, text_col, group_cols).withColumn("base_failed", base_failed())
     counts = materialise(counts, "mcd-counts")
     named = [F.coalesce(F.concat(F.lit("="), k), F.lit("-")) for k in keys]
     key = [F.concat_ws("\x1f", F.lit(str(n)), *named[:n]) for n in range(len(keys) + 1)]
@@ -240,3 +244,23 @@ def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     limit = chi2_quantile(1 - tail, _D)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
     return judged.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+
+
+def base_sql() -> str:
+    """The counts and ``base_failed`` of ``documents`` in DuckDB."""
+    word = r"[^\x20\x09-\x0D]+"
+    return rf"""
+    WITH split AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines
+        FROM documents),
+    windows AS (SELECT r, p, words[p : p + 4] AS w FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS p FROM split)),
+    repeated AS (SELECT r, unnest(list(p)) AS p FROM windows GROUP BY r, w HAVING count(*) > 1),
+    covered AS (SELECT r, count(DISTINCT p + i) AS n FROM repeated, range(5) AS five(i) GROUP BY r),
+    counts AS (
+        SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+               (length(text) - length(translate(text, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+        FROM split LEFT JOIN covered USING (r))
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+    """

@@ -65,6 +65,12 @@ def op8_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcd_outliers.outliers(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that op8 judges by, which SQL can express, without its verdict."""
+    found = mcd_outliers.base_statistics(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", mcd_outliers.base_failed().alias("base_failed"))
+
+
 def op9_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence that each document is, and the licences whose notices are lines of it."""
     found = license_digests.scan(table(spark, sf_dir, "documents"))
@@ -96,5 +102,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest(table(spark, sf_dir, "documents"), merkle_manifest.damaged_every_third())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op5_sentencepiece_viterbi, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language, op11_conversation_repair, op12_vector_packing, op13_merkle_manifest)}
-ORACLES: dict[str, str] = {"op9_license_digests": license_digests.oracle_sql(), "op11_conversation_repair": conversation_repair.oracle_sql(), "op13_merkle_manifest": merkle_manifest.oracle_sql()}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_voronoi_topk, op4_suffix_dedup, op5_sentencepiece_viterbi, op6_simhash_trie, op7_sum_of_squares_packing, op8_mcd_outliers, op9_license_digests, op10_zstd_language, op11_conversation_repair, op12_vector_packing, op13_merkle_manifest)} | {"documents_base_counts": base_counts}
+ORACLES: dict[str, str] = {"op3_voronoi_topk": voronoi_topk.oracle_sql(), "documents_base_counts": mcd_outliers.base_sql(), "op9_license_digests": license_digests.oracle_sql(), "op11_conversation_repair": conversation_repair.oracle_sql(), "op13_merkle_manifest": merkle_manifest.oracle_sql()}

@@ -116,6 +116,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
         if room and room + of_queries[cell]["n"] > group_queries:
             group, room = group + 1, 0
         groups[cell], room = group, room + of_queries[cell]["n"]
+    asking: dict[int, int] = {}
+    for cell, g in groups.items():
+        asking[g] = asking.get(g, 0) + of_queries[cell]["n"]
+    q_parts = {g: -(-n // group_queries) for g, n in asking.items()}  # a cell of very many queries is several tasks'
     bounds: dict[tuple[int, int], float] = {}  # by query group and data cell, the least distance from the pivot worth sending
     for cell, s in of_queries.items():
         sure = sorted((dot[cell, c] - s["away"] * length[c] - s["norm"] * a for c, away in nearest.items() for a in away), reverse=True)
@@ -125,13 +129,15 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
             need = (reached - slack - dot[cell, c] - s["away"] * length[c]) / max(s["norm"], 1e-9)
             key = (groups[cell], c)
             bounds[key] = min(bounds.get(key, np.inf), need)
-    least_away = [(g, c, float(max(need, -1.0))) for (g, c), need in bounds.items()]
-    served = F.broadcast(spark.createDataFrame(least_away, "grp int, cell int, least double"))  # query groups x pivots rows
-    sent = table.join(served, "cell").where("away >= least").select("grp", "vec_id", "x")
+    least_away = [(g, c, float(max(need, -1.0)), q_parts[g]) for (g, c), need in bounds.items()]
+    served = F.broadcast(spark.createDataFrame(least_away, "grp int, cell int, least double, q_parts int"))  # query groups x pivots rows
+    sent = table.join(served, "cell").where("away >= least").select("grp", "q_parts", "vec_id", "x")
     slices = sent.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(slice_rows)).cast("int").alias("slices"))
     data = sent.join(F.broadcast(slices), "grp").withColumn("part", F.pmod(F.xxhash64("vec_id", "x"), F.col("slices")).cast("int"))
-    grouped = F.broadcast(spark.createDataFrame(list(groups.items()), "cell int, grp int"))
-    asked = query.join(grouped, "cell").join(F.broadcast(slices), "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("part"), F.col("vec_id").alias("query_id"), F.col("x").alias("q"))
+    data = data.select("grp", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"), "part", "vec_id", "x")
+    grouped = F.broadcast(spark.createDataFrame([(c, g, q_parts[g]) for c, g in groups.items()], "cell int, grp int, q_parts int"))
+    asked = query.join(grouped, "cell").join(F.broadcast(slices), "grp").withColumn("q_part", F.pmod(F.xxhash64("vec_id"), F.col("q_parts")).cast("int"))
+    asked = asked.select("grp", "q_part", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("part"), F.col("vec_id").alias("query_id"), F.col("x").alias("q"))
 
     def solve(_, left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("vec_id")
@@ -149,6 +155,20 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
         flat = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in out[:2]]
         return pa.table({"query_id": pa.array(flat[0], pa.int64()), "vec_id": pa.array(flat[1], pa.int64()), "score": pa.array(out[2], pa.int64())})
 
-    found = asked.groupBy("grp", "part").cogroup(data.groupBy("grp", "part")).applyInArrow(solve, "query_id long, vec_id long, score long")
+    found = asked.groupBy("grp", "q_part", "part").cogroup(data.groupBy("grp", "q_part", "part")).applyInArrow(solve, "query_id long, vec_id long, score long")
     ranked = found.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def oracle_sql(k: int = 10, every: int = 100) -> str:
+    """Brute force in DuckDB: all inner products of the queries, ranked."""
+    return f"""
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda v: floor({SCALE} * v::DOUBLE)) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v::DOUBLE))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.x, d.x)::BIGINT AS score
+        FROM (SELECT * FROM whole WHERE vec_id % {every} = 0) q JOIN whole d ON q.vec_id <> d.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored QUALIFY rank <= {k}
+    """

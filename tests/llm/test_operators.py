@@ -137,6 +137,7 @@ def test_edit_distance():
             row = new
         assert line_dedup.edit_distance(a, b, 99) == row[-1]
         assert (line_dedup.edit_distance(a, b, 3) <= 3) == (row[-1] <= 3)
+        assert all(line_dedup.few_edits(a, b, n) == (row[-1] <= n) for n in range(13))
 
 
 def test_lines(docs, empty, texts):
@@ -145,10 +146,9 @@ def test_lines(docs, empty, texts):
     laid = line_dedup.Lines([x[2] for x in lines])
     fp, blocks = laid.fingerprints(), [set(x.tolist()) for x in laid.windows()]
     text = [b" ".join(x[2]).decode() for x in lines]
-    near = lambda i, j: int(fp[i] ^ fp[j]).bit_count() <= line_dedup.BUDGET
+    near = lambda i, j: int(fp[i] ^ fp[j]).bit_count() <= line_dedup.budget(np.array(max(len(text[i].encode()), len(text[j].encode()))))
     like = lambda i, j: min(len(text[i].encode()), len(text[j].encode())) >= line_dedup.RATIO * max(len(text[i].encode()), len(text[j].encode()))
-    cluster = groups(len(lines), lambda i, j: fp[i] == fp[j] or bool(blocks[i] & blocks[j]) and near(i, j) and like(i, j))
-    same = lambda i, j: text[i] == text[j] or (cluster[i] == cluster[j] and near(i, j) and line_dedup.similar(text[i], text[j]))
+    same = lambda i, j: text[i] == text[j] or bool(blocks[i] & blocks[j]) and near(i, j) and like(i, j) and line_dedup.similar(text[i], text[j])
     expected = {}
     for (i, n, _), (at, root) in zip(lines, enumerate(groups(len(lines), same)), strict=True):
         if at != root:
