@@ -27,6 +27,8 @@ SUBSET, STEPS, SETTLED = 0.75, 10, 1e-3
 PRIOR = 50
 #: Parts that each group's rows are dealt to where they meet their estimate: a hot group is no one task's.
 SALTS = 32
+#: Files that the estimates of a step are written to: so many, and one more for so many groups.
+LEAST_FILES, GROUPS_PER_FILE = 4, 4096
 #: Tail probability of a normal document beyond the cut, which is at a distance of 7.1. Of 10,000
 #: documents with 5,000 quality labels the farthest good one is at 7.0, and all labelled ones beyond 7.1 are bad.
 TAIL = 1e-9
@@ -168,24 +170,31 @@ def _factored(moments: DataFrame) -> DataFrame:
     return n.select(*moments.columns, *_W, logdet.alias("logdet"))
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
+def _few_files(params: DataFrame, groups: int, name: str) -> DataFrame:
+    """``params``, one row or two for each of so many groups, written to a few files: one for each shuffle
+    partition would be mostly footers, and by their size Spark would shuffle all documents to join them."""
+    return materialise(params.coalesce(LEAST_FILES + groups // GROUPS_PER_FILE), name)
+
+
+def estimates(vectors: DataFrame, groups: int | None = None) -> DataFrame:
     """MCD estimate (``m*``, ``c*_*``) of each ``key`` of ``vectors(key, salt, x0..)``.
 
     Two starts are concentrated: medians with median deviations, and plain moments. Every step keeps
     the ``SUBSET`` of each key that is nearest by the last estimate and estimates anew, until no log
     determinant changes by more than ``SETTLED`` or ``STEPS`` are done; the start whose covariance has
-    the smaller determinant wins (a tie: the medians).
+    the smaller determinant wins (a tie: the medians). ``groups`` is the number of keys, if known.
     """
+    groups = vectors.select("key").distinct().count() if groups is None else groups
     cut = chi2_quantile(SUBSET, _D)
     scale = SUBSET / chi2_cdf(cut, _D + 2)
     centre = vectors.groupBy("key").agg(*(F.percentile(F.round(x, 3), 0.5).alias(m) for x, m in zip(_X, _M, strict=True)))
     spread = _meet(vectors, centre, "key").groupBy("key").agg(*(F.percentile(F.round(F.abs(F.col(x) - F.col(f"m{i}")), 3), 0.5).alias(f"s{i}") for i, x in enumerate(_X)))
     medians = centre.join(spread, "key").select("key", F.lit(0).alias("start"), *_M, *(((F.col(f"s{i}") * 1.4826) ** 2 if i == j else F.lit(0.0)).alias(f"c{i}_{j}") for i, j in _PAIRS))
-    params = materialise(_factored(medians.unionByName(_moments(vectors.withColumn("start", F.lit(1)), 1.0))), "mcd-start")
+    params = _few_files(_factored(medians.unionByName(_moments(vectors.withColumn("start", F.lit(1)), 1.0))), groups, "mcd-start")
     for _ in range(STEPS):
         near = _meet(vectors, params, "key").select("key", "start", "salt", *_X, _grid(_distance()).alias("d"))
         limit = near.groupBy("key", "start").agg(F.percentile("d", SUBSET).alias("limit"))
-        last, params = params, materialise(_factored(_moments(_meet(near, limit, "key", "start").where("d <= limit"), scale)), "mcd-step")
+        last, params = params, _few_files(_factored(_moments(_meet(near, limit, "key", "start").where("d <= limit"), scale)), groups, "mcd-step")
         moved = params.join(last.select("key", "start", F.col("logdet").alias("last")), ["key", "start"])
         if moved.where(F.abs(F.col("logdet") - F.col("last")) > SETTLED).isEmpty():
             break
@@ -235,11 +244,12 @@ def outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gr
     each = [fit.select(F.col(f"key{n}").alias("key"), F.col(f"key{max(n - 1, 0)}").alias("parent"), F.lit(n).alias("level"), "salt", *_X) for n in range(len(key))]
     vectors = materialise(functools.reduce(DataFrame.unionByName, each), "mcd-vectors")
     sizes = vectors.groupBy("key", "parent", "level").agg(F.count("*").alias("n"))
-    found = materialise(estimates(vectors).join(sizes, "key"), "mcd-estimates")
+    groups = sizes.count()
+    found = _few_files(estimates(vectors, groups).join(sizes, "key"), groups, "mcd-estimates")
     drawn = None
     for n in range(len(key)):
         drawn = _drawn(found.where(F.col("level") == n), drawn)
-    params = materialise(_factored(drawn.withColumn("start", F.lit(0))).drop("start", *_C), "mcd-drawn")
+    params = _few_files(_factored(drawn.withColumn("start", F.lit(0))).drop("start", *_C), groups, "mcd-drawn")
     judged = _meet(rows, params, "key", how="left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     limit = chi2_quantile(1 - tail, _D)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))

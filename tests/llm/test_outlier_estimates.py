@@ -115,3 +115,29 @@ def test_no_good_labelled_document_is_beyond_the_cut(spark):
     found = mcd.outliers(table(spark, sf, "documents")).where("not base_failed").join(table(spark, sf, "labels").withColumnRenamed("doc_id", "id"), "id")
     by = {(x.quality, x.kept): x["count"] for x in found.groupBy("quality", "kept").count().collect()}
     assert by.get((1, False), 0) <= 0.001 * by[1, True] and by[0, False] > 200
+
+
+def test_estimates_are_few_files_at_any_number_of_partitions(spark, monkeypatch):
+    """Estimates that fill a file for each shuffle partition are too large, by their footers, to be sent to the
+    documents, which are then shuffled in every step instead."""
+    written, kept = [], mcd.materialise
+
+    def noted(df, name):
+        out = kept(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(mcd, "materialise", noted)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {x: spark.conf.get(x) for x in names}
+    rows = [(i, " ".join(f"w{i * j % 97}" for j in range(20 + i % 9)), "en", f"s{i % 30}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    try:
+        for x, value in zip(names, ("40", "false"), strict=True):
+            spark.conf.set(x, value)
+        assert mcd.outliers(docs).count() == 300
+    finally:
+        for x, value in before.items():
+            spark.conf.set(x, value)
+    files = {name: n for name, n in written if name not in ("mcd-counts", "mcd-vectors")}
+    assert {"mcd-start", "mcd-step", "mcd-estimates", "mcd-drawn"} == set(files) and max(files.values()) <= mcd.LEAST_FILES, files
